@@ -16,7 +16,10 @@ from tallyshelf.operators.clean import clean
 from tallyshelf.operators.reshape import melt_votes
 from tallyshelf.spec import CatalogSpec
 
-# Return flags play the platforms, event types the tags.
+# The codes of a line, which play platforms and categories, and the
+# event types, which play the tags.
+RETURN_FLAGS = ["A", "N", "R"]
+LINE_STATUSES = ["F", "O"]
 FLAGS = {"on_a": ("platforms", "A"), "on_n": ("platforms", "N"), "on_r": ("platforms", "R")}
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 ACHIEVEMENT_BANDS = up_to("0", [("1-2", 2), ("3-4", 4)], "5+")
@@ -111,15 +114,16 @@ def _lines_per_order(spark: SparkSession, sf_dir: str, wanted: set[str]) -> Data
         parts = table(spark, sf_dir, "part")
         lines = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
 
-    def joined(column):
-        values = F.array_sort(F.collect_set(column))
-        return F.when(F.size(values) > 0, F.array_join(values, ";"))
+    def present(column, codes):
+        found = [F.when(F.bool_or(F.col(column) == c), F.lit(c)) for c in codes]
+        return F.concat_ws(";", *found)
 
+    types = F.array_sort(F.collect_set("p_type"))
     returned = F.col("l_returnflag") == "R"
     measures = {
-        "genres": joined("p_type"),
-        "platforms": joined("l_returnflag"),
-        "categories": joined("l_linestatus"),
+        "genres": F.when(F.size(types) > 0, F.array_join(types, ";")),
+        "platforms": present("l_returnflag", RETURN_FLAGS),
+        "categories": present("l_linestatus", LINE_STATUSES),
         "positive_ratings": F.count_if(~returned),
         "negative_ratings": F.count_if(returned),
         "average_playtime": F.sum("l_quantity").cast("int"),

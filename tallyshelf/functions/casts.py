@@ -17,7 +17,8 @@ def to_integral(text: Column, type_name: str) -> Column:
 
     The pattern runs only for text that is not a plain integer.
     """
-    whole = F.regexp_extract(text, r"^\s*([+-]?\d+)\.\d*\s*$", 1)
+    pattern = r"^\s*(?<sign>[+-]?)(?<whole>\d*)\.\d*\s*$"
+    whole = F.regexp_replace(text, pattern, "${sign}0${whole}")
     return F.coalesce(text.try_cast(type_name), whole.try_cast(type_name))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,8 +15,12 @@ def guarded_ratio(part: Column, rest: Column) -> Column:
 
 
 def tokens(text: Column, delimiter: str) -> Column:
-    """Tokens of a delimited text. ``split`` takes a pattern, so it is quoted."""
-    return F.split(text, rf"\Q{delimiter}\E")
+    """Tokens of a delimited text.
+
+    ``split`` takes a pattern. Escaping alone keeps a one-character delimiter on
+    Java's path without a regular expression; quoting it would not.
+    """
+    return F.split(text, re.escape(delimiter))
 
 
 def token_count(text: Column, delimiter: str, null_count: int | None = None) -> Column:
@@ -25,7 +31,7 @@ def token_count(text: Column, delimiter: str, null_count: int | None = None) ->
 
 def interval_bounds(text: Column, delimiter: str) -> tuple[Column, Column]:
     """Both ends of a ``low-high`` text as bigint, NULL where one is missing or bad."""
-    ends = F.split(text, rf"\Q{delimiter}\E")
+    ends = tokens(text, delimiter)
     return tuple(F.get(ends, F.lit(i)).try_cast("bigint") for i in (0, 1))
 
 

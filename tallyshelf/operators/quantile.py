@@ -8,7 +8,7 @@ import sys
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BINS = 4096
+BINS = 16384
 
 
 def _bin(low: float, high: float, bins: int) -> Column:

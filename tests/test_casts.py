@@ -1,0 +1,52 @@
+"""Null-safe casts give what a non-ANSI cast gives, with ANSI mode on."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyshelf.functions.casts import to_day, to_double, to_integral
+
+TEXTS = [
+    "0", "7", "-3", "+4", " 12 ", "12.5", "-12.9", "12.", "1e3", "abc", "", " ", "1,000", "0x1F",
+    "2147483647", "2147483648", "-2147483649", "9223372036854775807", "9223372036854775808",
+    "3.14", "-0.0", ".5", "-.5", ".", "NaN", "Infinity", "1.5d", "--1", "1 2", None,
+]
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    rows = [(i, t) for i, t in enumerate(TEXTS)]
+    return spark.createDataFrame(rows, "i int, t string")
+
+
+def legacy(spark, df, expression):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        return [r[0] for r in df.orderBy("i").select(F.expr(expression)).collect()]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+@pytest.mark.parametrize("type_name", ["int", "bigint"])
+def test_integers_match_the_non_ansi_cast(spark, texts, type_name):
+    got = [r[0] for r in texts.orderBy("i").select(to_integral(F.col("t"), type_name)).collect()]
+    expected = legacy(spark, texts, f"cast(t as {type_name})")
+    assert got == expected
+
+
+def test_doubles_match_the_non_ansi_cast(spark, texts):
+    got = [r[0] for r in texts.orderBy("i").select(to_double(F.col("t"))).collect()]
+    assert [repr(v) for v in got] == [repr(v) for v in legacy(spark, texts, "cast(t as double)")]
+
+
+def test_dates(spark):
+    cases = {
+        "2010-02-03": "2010-02-03",
+        "2010-02-30": None,
+        "bad-date": None,
+        "": None,
+        "03/02/2010": None,
+        None: None,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    rows = df.select("t", to_day(F.col("t"), "yyyy-MM-dd").cast("string").alias("d")).collect()
+    assert {r["t"]: r["d"] for r in rows} == cases

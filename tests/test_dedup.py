@@ -1,0 +1,47 @@
+import random
+
+from pyspark.sql import functions as F
+
+from tallyshelf.operators.dedup import first_per_key
+
+
+def test_survivor_does_not_depend_on_row_order_or_partitions(spark):
+    draw = random.Random(3)
+    rows = [(draw.randrange(20), draw.randrange(3), draw.choice("abc"), None) for _ in range(400)]
+    expected = {}
+    for key, a, b, c in rows:
+        expected[key] = min(expected.get(key, (9, "z", None)), (a, b, c))
+    for parts in (1, 7):
+        draw.shuffle(rows)
+        df = spark.createDataFrame(rows, "k int, a int, b string, c double").repartition(parts)
+        got = {r["k"]: (r["a"], r["b"], r["c"]) for r in first_per_key(df, ["k"]).collect()}
+        assert got == expected
+
+
+def test_order_columns_come_first(spark):
+    df = spark.createDataFrame([(1, "a", 9), (1, "z", 2)], "k int, x string, o int")
+    result = first_per_key(df, ["k"], ["o"])
+    assert result.columns == df.columns
+    assert result.collect() == [(1, "z", 2)]
+
+
+def test_null_keys_are_one_group_and_null_values_sort_first(spark):
+    df = spark.createDataFrame([(None, 1), (None, None), (2, 5)], "k int, v int")
+    assert sorted(first_per_key(df, ["k"]).collect(), key=repr) == [(2, 5), (None, None)]
+
+
+def test_key_only_rows(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,)], "k int")
+    assert sorted(first_per_key(df, ["k"]).collect()) == [(1,), (2,)]
+
+
+def test_hot_key_combines_before_the_shuffle(spark):
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), F.hash("id").alias("v")
+    )
+    result = first_per_key(rows, ["k"])
+    assert result.count() == 20_001
+    lowest = rows.filter("k = -1").agg(F.min("v")).first()[0]
+    assert result.filter("k = -1").collect() == [(-1, lowest)]
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange") < plan.index("partial_min")
