@@ -14,6 +14,7 @@ from tallyshelf.functions.derive import (
     non_blank,
     token_count,
 )
+from tallyshelf.functions.names import named
 from tallyshelf.operators.dedup import first_per_key
 from tallyshelf.spec import CatalogSpec
 
@@ -24,7 +25,7 @@ def cast_columns(raw: DataFrame, spec: CatalogSpec) -> DataFrame:
     current = dict(raw.dtypes)
 
     def cast(name: str) -> Column:
-        column = F.col(f"`{name}`")
+        column = named(name)
         if name == spec.date and current[name] != "date":
             return to_day(column, spec.date_format).alias(name)
         if name in targets and current[name] != targets[name]:
@@ -62,7 +63,7 @@ def derive_columns(items: DataFrame, spec: CatalogSpec, null_count: int | None =
         if source in have:
             derived[name] = F.col(source).contains(word)
     kept = [
-        clamp_negative(F.col(c)).alias(c) if c == spec.price else F.col(f"`{c}`")
+        clamp_negative(F.col(c)).alias(c) if c == spec.price else named(c)
         for c in items.columns
     ]
     return items.select(*kept, *[e.alias(n) for n, e in derived.items()])

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyshelf.functions.names import named
+
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """One row per key: the lowest by ``order_by``, then by all other columns.
@@ -21,5 +23,7 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] =
     ordering = [c for c in order_by if c not in keys] + rest
     if not ordering:
         return df.distinct()
-    lowest = df.groupBy(*keys).agg(F.min(F.struct(*ordering)).alias("_row"))
-    return lowest.select(*[c if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
+    lowest = df.groupBy(*map(named, keys)).agg(F.min(F.struct(*map(named, ordering))).alias("_row"))
+    return lowest.select(
+        *[named(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns]
+    )

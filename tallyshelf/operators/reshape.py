@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyshelf.functions.casts import to_integral
 from tallyshelf.functions.derive import non_blank, tokens
+from tallyshelf.functions.names import named
 from tallyshelf.functions.rounding import rounded
 
 
@@ -37,9 +38,9 @@ def melt_votes(
     which plans one projection per column.
     """
     columns = [c for c in wide.columns if c != key]
-    cells = F.array(*[F.col(f"`{c}`") for c in columns])
+    cells = F.array(*map(named, columns))
     names = F.array(*[F.lit(c) for c in columns])
-    key_column = F.col(f"`{key}`")
+    key_column = named(key)
     if dict(wide.dtypes)[key] != key_type:
         key_column = to_integral(key_column, key_type)
     rows = wide.select(key_column.alias(key), F.posexplode(cells).alias("_at", value))

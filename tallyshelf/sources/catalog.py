@@ -4,20 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyshelf.functions.names import quoted
 
-def quoted(name: str) -> str:
+
+def dotted(name: str) -> str:
     """A possibly dotted name, each part in back quotes."""
-    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+    return ".".join(map(quoted, name.split(".")))
 
 
 def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
     where = f" LOCATION '{_text(location)}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}{where}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {dotted(database)}{where}")
 
 
 def drop_table(spark: SparkSession, table: str) -> None:
     """Forget an external table; its files stay."""
-    spark.sql(f"DROP TABLE IF EXISTS {quoted(table)}")
+    spark.sql(f"DROP TABLE IF EXISTS {dotted(table)}")
 
 
 def external_table(
@@ -30,13 +32,13 @@ def external_table(
     the data loses.
     """
     drop_table(spark, table)
-    spark.sql(f"CREATE TABLE {quoted(table)} USING PARQUET LOCATION '{_text(path)}'")
+    spark.sql(f"CREATE TABLE {dotted(table)} USING PARQUET LOCATION '{_text(path)}'")
     if partitioned:
-        spark.sql(f"MSCK REPAIR TABLE {quoted(table)}")
+        spark.sql(f"MSCK REPAIR TABLE {dotted(table)}")
 
 
 def tables_in(spark: SparkSession, database: str) -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN {quoted(database)}")
+    return spark.sql(f"SHOW TABLES IN {dotted(database)}")
 
 
 def _text(value: str) -> str:

@@ -45,3 +45,10 @@ def test_hot_key_combines_before_the_shuffle(spark):
     assert result.filter("k = -1").collect() == [(-1, lowest)]
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Exchange") < plan.index("partial_min")
+
+
+def test_names_with_dots_and_back_quotes(spark):
+    df = spark.createDataFrame([(1, 3, 4), (1, 2, 9)], ["a.b", "c`d", "e"])
+    result = first_per_key(df, ["a.b"])
+    assert result.columns == ["a.b", "c`d", "e"]
+    assert result.collect() == [(1, 2, 9)]

@@ -1,0 +1,59 @@
+import pytest
+
+from feeds import TAGS_CSV
+from tallyshelf.operators.reshape import explode_tokens, melt_measures, melt_votes, transpose_row
+from tallyshelf.sources.readers import read_feed
+
+
+@pytest.fixture(scope="module")
+def wide(spark, tmp_path_factory):
+    path = tmp_path_factory.mktemp("tags") / "tags.csv"
+    path.write_text(TAGS_CSV)
+    return read_feed(spark, str(path))
+
+
+def test_melt_keeps_positive_cells_of_any_column_name(wide):
+    long = melt_votes(wide)
+    assert long.dtypes == [("appid", "int"), ("tag", "string"), ("votes", "int")]
+    assert sorted(long.collect()) == [
+        (10, "2d", 5), (10, "a`b", 3), (10, "co.op", 1), (30, "a`b", 2), (30, "it's", 7),
+    ]
+
+
+def test_melt_equals_unpivot(spark):
+    columns = [f"c{i}" for i in range(40)]
+    wide = spark.range(50).selectExpr(
+        "string(id) AS appid", *[f"string((id * {i} + {i}) % 5 - 1) AS {c}" for i, c in enumerate(columns)]
+    )
+    plain = (
+        wide.unpivot("appid", columns, "tag", "votes")
+        .selectExpr("int(appid) AS appid", "tag", "int(votes) AS votes")
+        .filter("votes > 0")
+    )
+    assert sorted(melt_votes(wide).collect()) == sorted(plain.collect())
+
+
+def test_melt_of_typed_cells(spark):
+    wide = spark.createDataFrame([(1, 0, 4)], "appid int, a int, b int")
+    assert melt_votes(wide).collect() == [(1, "b", 4)]
+
+
+def test_melt_does_not_shuffle(wide):
+    assert "Exchange" not in melt_votes(wide)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_explode_drops_blank_tokens_and_keeps_spaces(spark):
+    df = spark.createDataFrame([(1, "Action; "), (2, None), (3, " RPG;;Indie")], "id int, genres string")
+    rows = explode_tokens(df, "genres", "genre").select("id", "genre").collect()
+    assert sorted(rows) == [(1, "Action"), (3, " RPG"), (3, "Indie")]
+
+
+def test_melt_measures_keeps_nulls(spark):
+    df = spark.createDataFrame([(2010, 0.5, None)], "release_year int, mac double, linux double")
+    rows = melt_measures(df, ["release_year"], ["mac", "linux"], "platform", "rate").collect()
+    assert rows == [(2010, "mac", 0.5), (2010, "linux", None)]
+
+
+def test_transpose_row(spark):
+    df = spark.createDataFrame([(0.12345, None)], "a double, b double")
+    assert transpose_row(df, ["a", "b"], "k", "v", 3).collect() == [("a", 0.123), ("b", None)]
