@@ -199,9 +199,10 @@ def flat_copy(spark, d):
 
 def warehouse_years(spark, d):
     """Both clean tables published as external tables; years ranked by SQL over the catalog."""
-    return _publish(spark, d).sql(
+    _publish(spark, d, "tallyshelf_years")
+    return spark.sql(
         """
-        SELECT release_year, count(*) AS n_games FROM tallyshelf_check.games
+        SELECT release_year, count(*) AS n_games FROM tallyshelf_years.games
         WHERE release_year BETWEEN 1996 AND 2000
         GROUP BY release_year ORDER BY n_games DESC, release_year
         """
@@ -209,15 +210,16 @@ def warehouse_years(spark, d):
 
 
 def warehouse_tags(spark, d):
-    return reports.top_tags(_publish(spark, d).table("tallyshelf_check.tags_long"), 10)
+    """Tags with most votes, read from the published table."""
+    _publish(spark, d, "tallyshelf_tags")
+    return reports.top_tags(spark.table("tallyshelf_tags.tags_long"), 10)
 
 
-def _publish(spark, d):
+def _publish(spark, d, database):
     zone = scratch_folder(spark, "zone")
     write_partitioned(items(spark, d, "release_date", "price"), f"{zone}/games", SPEC.year)
     write_table(tags_long(spark, d), f"{zone}/tags_long")
-    publish_job(spark, zone, "tallyshelf_check", location=f"{zone}/database")
-    return spark
+    publish_job(spark, zone, database, location=f"{zone}/database")
 
 
 def exported_genres(spark, d):

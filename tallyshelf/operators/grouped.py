@@ -46,7 +46,7 @@ def by_band(
     """
     rows = df.select("*", bands.position(F.col(column)).alias("_band"), F.lit(1).alias("_weight"))
     if keep_empty:
-        empty = df.sparkSession.range(len(bands.labels)).select(
+        empty = df.sparkSession.range(0, len(bands.labels), 1, 1).select(
             F.col("id").cast("int").alias("_band"), F.lit(0).alias("_weight")
         )
         rows = rows.unionByName(empty, allowMissingColumns=True)

@@ -37,7 +37,9 @@ def equal_width_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
             F.lit(1).alias("w"),
         )
     )
-    every_bin = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"), F.lit(0).alias("w"))
+    every_bin = df.sparkSession.range(0, bins, 1, 1).select(
+        F.col("id").cast("int").alias("bin"), F.lit(0).alias("w")
+    )
     counts = counted.unionByName(every_bin).groupBy("bin").agg(F.sum("w").alias("n"))
     return (
         counts.select("bin", "n", edges.scalar().alias("e"))

@@ -44,10 +44,9 @@ def exact_quantile(df: DataFrame, column: str, q: float, bins: int = BINS) -> fl
             values.filter(F.col("x").between(low, high))
             .groupBy(_bin(low, high, bins).alias("bin"))
             .agg(F.count("x").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
-            .orderBy("bin")
             .collect()
         )
-        for row in counts:
+        for row in sorted(counts, key=lambda row: row["bin"]):
             if rank <= row["n"]:
                 low, high = row["low"], row["high"]
                 break
