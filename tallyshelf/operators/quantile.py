@@ -51,4 +51,6 @@ def exact_quantile(df: DataFrame, column: str, q: float, bins: int = BINS) -> fl
                 low, high = row["low"], row["high"]
                 break
             rank -= row["n"]
+        else:
+            raise RuntimeError(f"values of {column} changed between passes")
     return low
