@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from tallyshelf.llm.common import WORD, text_or_empty
 from tallyshelf.llm.mixing import mix_sources
+from tallyshelf.llm.packing import pack_documents
 from tallyshelf.llm.sharding import shard_rows
+from tallyshelf.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+TOKENIZER = "word_bpe_49k.json"
 SHARDS = 24
 WEIGHTS = (5.0, 2.0, 1.0)
 
@@ -21,6 +24,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def pack_all_documents(spark, sf_dir):
+    """All documents in sequences of 4096 tokens."""
+    import public_tokenizers
+
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pack_documents(documents, "text", public_tokenizers.path(TOKENIZER))
+
+
+def near_duplicate_documents(spark, sf_dir):
+    """All documents with their SimHash fingerprint and near-duplicate group."""
+    found = near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return found.select(
+        F.col("key").alias("doc_id"),
+        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
 def shard_documents(spark, sf_dir):
     """All documents in 24 shards whose row counts differ by one at most (law ``rows``)."""
     text = text_or_empty("text")
@@ -51,6 +72,8 @@ def mix_documents(spark, sf_dir):
 
 
 QUERIES: dict[str, Query] = {
+    "op1_shortest_pack_first": pack_all_documents,
     "op2_ring_shards": shard_documents,
+    "op3_golay_simhash": near_duplicate_documents,
     "op10_golden_mix": mix_documents,
 }
