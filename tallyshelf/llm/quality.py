@@ -39,8 +39,11 @@ def text_statistics(df: DataFrame, text: str) -> DataFrame:
     lines = F.filter(F.split("_text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     body = body.withColumn("_words", F.regexp_extract_all("_text", F.lit(WORD), F.lit(0)))
     body = body.withColumn("_lines", lines).withColumn("n_words", F.size("_words").cast("bigint"))
-    windows = F.sequence(F.lit(1), F.size("_words") - WINDOW_WORDS + 1)
-    hashes = F.transform(windows, lambda i: F.xxhash64(F.slice("_words", i, WINDOW_WORDS)))
+    windows = F.sequence(F.lit(0), F.size("_words") - WINDOW_WORDS)
+    # Five single elements: a slice would copy the whole array for each window.
+    hashes = F.transform(
+        windows, lambda i: F.xxhash64(*[F.get("_words", i + k) for k in range(WINDOW_WORDS)])
+    )
     body = body.withColumn(
         "_hashes", F.when(F.size("_words") >= WINDOW_WORDS, hashes).otherwise(F.array().cast("array<bigint>"))
     )
@@ -68,8 +71,13 @@ def text_statistics(df: DataFrame, text: str) -> DataFrame:
         "_begins",
         lambda i, k: F.least(F.lit(WINDOW_WORDS), F.coalesce(F.get("_begins", k + 1), i + WINDOW_WORDS) - i),
     )
-    total = F.aggregate(covered, F.lit(0), lambda a, b: a + b)
-    return body.withColumn("n_repeat_words", F.coalesce(total, F.lit(0)).cast("bigint")).drop("_begins")
+    total = F.coalesce(F.aggregate(covered, F.lit(0), lambda a, b: a + b), F.lit(0)).cast("bigint")
+    added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_capitals"]
+    own = [c for c in body.columns if c not in (*added, "_begins")]
+    # A generator of one row: a filter on the statistics would else be pushed below the
+    # projections above, with their array functions inlined into one another.
+    found = F.array(F.struct(*[F.col(c) for c in added], total.alias("n_repeat_words")))
+    return body.select(*map(named, own), F.inline(found))
 
 
 def vector() -> dict[str, Column]:

@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyshelf.llm.common import WORD, text_or_empty
+from tallyshelf.llm.ctw import score_texts
+from tallyshelf.llm.licenses import scan_licenses
 from tallyshelf.llm.mixing import mix_sources
 from tallyshelf.llm.packing import pack_documents
+from tallyshelf.llm.pii import BASE, FOUND, find_pii, span_list
+from tallyshelf.llm.quality import quality_verdicts
 from tallyshelf.llm.sharding import shard_rows
 from tallyshelf.llm.simhash import near_duplicates
 
@@ -61,6 +65,55 @@ def shard_documents(spark, sf_dir):
     )
 
 
+def judge_documents(spark, sf_dir):
+    """All documents with their statistics, the base verdict and the robust one."""
+    judged = quality_verdicts(table(spark, sf_dir, "documents"), "text", "lang", "source")
+    statistics = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *statistics, "base_failed", "kept", "distance")
+
+
+def personal_data(spark, sf_dir):
+    """All documents with the places of personal data: base patterns, and identifiers found by context."""
+    found = find_pii(table(spark, sf_dir, "documents"), "text", ["doc_id"])
+    return found.select(
+        "doc_id",
+        *[F.size(kind).cast("bigint").alias(f"n_{kind}") for kind in BASE],
+        F.sha2(span_list(BASE), 256).alias("base_sha256"),
+        span_list([*BASE, FOUND]).alias("spans"),
+    )
+
+
+def licence_documents(spark, sf_dir):
+    """All documents with licence phrases, the notices they cover and the best share covered."""
+    scanned = scan_licenses(table(spark, sf_dir, "documents"), "doc_id", "text")
+    places, labels = F.col("base.word"), F.col("base.label")
+    return scanned.select(
+        F.col("key").alias("doc_id"),
+        "n_words",
+        F.size("base").cast("bigint").alias("n_base"),
+        F.array_min(places).alias("first_word"),
+        F.array_max(places).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(labels)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(labels, F.col("spans.label"))), ",").alias("labels"),
+        F.coalesce(F.array_max("spans.share"), F.lit(0.0)).alias("score"),
+    )
+
+
+def score_documents(spark, sf_dir):
+    """All documents scored by context-tree weighting and by word frequency."""
+    scored = score_texts(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return scored.select(
+        F.col("key").alias("doc_id"),
+        "held_out",
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+        "n_bytes",
+    )
+
+
 def mix_documents(spark, sf_dir):
     """All documents mixed by source, weights 5, 2, 1 in turn, at most three passes over a source."""
     words = F.regexp_count(text_or_empty("text"), F.lit(WORD)).cast("bigint")
@@ -75,5 +128,9 @@ QUERIES: dict[str, Query] = {
     "op1_shortest_pack_first": pack_all_documents,
     "op2_ring_shards": shard_documents,
     "op3_golay_simhash": near_duplicate_documents,
+    "op5_robust_quality": judge_documents,
+    "op6_bootstrapped_pii": personal_data,
+    "op7_suffix_licenses": licence_documents,
+    "op9_context_tree": score_documents,
     "op10_golden_mix": mix_documents,
 }
