@@ -221,11 +221,14 @@ def find_pii(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame:
 
 def span_list(kinds: Sequence[str]) -> Column:
     """``kind:start:end`` of all spans, by kind, then start, joined by commas."""
-    parts = [
-        F.transform(k, lambda x, k=k: F.concat_ws(":", F.lit(k), x["start"].cast("string"), x["end"].cast("string")))
-        for k in kinds
-    ]
-    return F.array_join(F.concat(*parts), ",")
+
+    def listed(kind):
+        def written(x):
+            return F.concat_ws(":", F.lit(kind), x["start"].cast("string"), x["end"].cast("string"))
+
+        return F.transform(kind, written)
+
+    return F.array_join(F.concat(*map(listed, kinds)), ",")
 
 
 def mask_pii(df: DataFrame, text: str) -> DataFrame:
@@ -236,10 +239,11 @@ def mask_pii(df: DataFrame, text: str) -> DataFrame:
     """
     numbered = stored(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
     spans = find_pii(numbered.select(F.col("_row").alias("_id"), named(text)), text, ["_id"])
-    kinds = [*BASE, FOUND]
-    every = F.sort_array(
-        F.concat(*[F.transform(k, lambda x, k=k: F.struct(x["start"], x["end"], F.lit(k).alias("kind"))) for k in kinds])
-    )
+
+    def marked(kind):
+        return F.transform(kind, lambda x: F.struct(x["start"], x["end"], F.lit(kind).alias("kind")))
+
+    every = F.sort_array(F.concat(*map(marked, [*BASE, FOUND])))
     hits = spans.select(F.col("_id").alias("_row"), every.alias("_spans")).filter(F.size("_spans") > 0)
     body = numbered.join(hits, "_row", "left")
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
