@@ -135,8 +135,8 @@ def lexical_patterns(left: Column, right: Column) -> Column:
 def with_candidates(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
     """``keep`` columns, ``_row``, the base spans by kind, and ``candidates``: the identifier runs.
 
-    A candidate has ``start, end, run, patterns, seed``; seeds overlap a base span
-    or look like a long hexadecimal secret, the others must look like identifiers.
+    A candidate has ``start, end, run, patterns, base, secret``: it overlaps a base
+    span, looks like a long hexadecimal secret, or else must look like an identifier.
     """
     body = df.select(
         *map(named, keep), F.monotonically_increasing_id().alias("_row"), text_or_empty(text).alias("_text")
@@ -155,15 +155,14 @@ def with_candidates(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
             x["end"].alias("end"),
             F.lower(x["hit"]).alias("run"),
             lexical_patterns(x["left"], x["right"]).alias("patterns"),
-            (
-                F.exists("_base", lambda b: (b["start"] < x["end"]) & (b["end"] > x["start"]))
-                | F.lower(x["hit"]).rlike(SECRET)
-            ).alias("seed"),
+            F.exists("_base", lambda b: (b["start"] < x["end"]) & (b["end"] > x["start"])).alias("base"),
+            F.lower(x["hit"]).rlike(SECRET).alias("secret"),
         ),
     )
     shaped = F.filter(
         runs,
-        lambda x: x["seed"]
+        lambda x: x["base"]
+        | x["secret"]
         | ((F.char_length(x["run"]) >= LEAST_LENGTH) & (F.char_length(digits(x["run"])) >= LEAST_DIGITS)),
     )
     return body.withColumn("candidates", shaped).drop("_runs", "_base")
@@ -197,10 +196,10 @@ def pattern_scores(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 def find_pii(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame:
     """``keep`` columns, ``_row``, the base kinds' spans, and ``id``: the spans found by context.
 
-    All spans are arrays of ``(start, end, hit)``. Base spans seed a graph of
-    lexical patterns and identifier runs, whose scores Spark computes in rounds of
-    joins and sums; runs beside a pattern of high confidence and support, that no
-    base span covers, are found. The texts are read once; what is written is the
+    All spans are arrays of ``(start, end, hit)``. Base spans and long hexadecimal
+    secrets seed a graph of lexical patterns and identifier runs, whose scores Spark
+    computes in rounds of joins and sums; the secrets, and runs beside a pattern of
+    high confidence and support that no base span meets, are found. The texts are read once; what is written is the
     spans and the runs' contexts, and the graph is pre-summed.
 
     NULL texts are empty and have no spans. Rows are told apart by ``_row``, so
@@ -210,11 +209,14 @@ def find_pii(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame:
     rows = stored(with_candidates(df, text, keep), "spans")
     runs = rows.select("_row", F.explode("candidates").alias("c")).select("_row", "c.*")
     linked = runs.withColumn("pattern", F.explode("patterns"))
-    edges = stored(linked.groupBy("pattern", "run").agg(F.max("seed").alias("seed")), "graph")
+    seed = F.max(F.col("base") | F.col("secret")).alias("seed")
+    edges = stored(linked.groupBy("pattern", "run").agg(seed), "graph")
     trusted = pattern_scores(edges).filter((F.col("confidence") >= CONFIDENT) & (F.col("support") >= SUPPORT))
-    unseen = linked.filter("NOT seed").join(trusted.select("pattern"), "pattern", "left_semi")
+    span = ["_row", "start", "end", "run"]
+    unseen = linked.filter("NOT base AND NOT secret").join(trusted.select("pattern"), "pattern", "left_semi")
+    added = unseen.select(*span).unionByName(runs.filter("NOT base AND secret").select(*span))
     span = F.struct("start", "end", F.col("run").alias("hit"))
-    found = unseen.groupBy("_row").agg(F.sort_array(F.collect_set(span)).alias(FOUND))
+    found = added.groupBy("_row").agg(F.sort_array(F.collect_set(span)).alias(FOUND))
     joined = rows.drop("candidates").join(found, "_row", "left")
     return joined.withColumn(FOUND, F.coalesce(FOUND, F.array().cast(SPANS)))
 
