@@ -1,18 +1,94 @@
-"""Documents to packed training sequences, one operator a stage."""
+"""Documents to packed training sequences, one operator a stage.
+
+Quality rules, SimHash near-dedup, masked personal data, a mix of sources to
+target weights, packing. Each stage works on all rows its predecessor kept; all
+but the last return the columns of documents, whatever they are called.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallyshelf.functions.names import named
+from tallyshelf.llm.common import WORD, stored, text_or_empty
+from tallyshelf.llm.mixing import mix_sources
+from tallyshelf.llm.packing import pack_documents
+from tallyshelf.llm.pii import mask_pii
+from tallyshelf.llm.quality import quality_verdicts
+from tallyshelf.llm.queries import TOKENIZER, WEIGHTS
+from tallyshelf.llm.simhash import near_duplicates
 from tallyshelf.sources.scratch import scratch_folder
 
-STAGES = []
 
+def _whole(docs: DataFrame, *columns: str) -> DataFrame:
+    """All columns as one struct ``doc``, beside copies of some: no name of a stage can clash."""
+    return docs.select(F.struct(*map(named, docs.columns)).alias("doc"), *map(named, columns))
+
+
+def _numbered(docs: DataFrame, *columns: str) -> DataFrame:
+    """``_whole`` with a ``row`` that tells repeated rows apart, written so that it stays."""
+    return stored(_whole(docs, *columns).withColumn("row", F.monotonically_increasing_id()), "numbered")
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and are no outliers of their language and source."""
+    judged = quality_verdicts(_whole(docs, "text", "lang", "source"), "text", "lang", "source")
+    return judged.filter("kept").select("doc.*")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first row of each near-duplicate group, in the order the rows are stored."""
+    numbered = _numbered(docs, "text")
+    groups = near_duplicates(numbered, "row", "text")
+    first = groups.filter(F.col("key") == F.col("component")).select(F.col("key").alias("row"))
+    return numbered.join(first, "row", "left_semi").select("doc.*")
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, spans of personal data replaced by their kind; ``n_chars`` follows the text."""
+    masked = mask_pii(_whole(docs, "text"), "text")
+    text, size = F.col("text"), F.char_length("text").cast("bigint")
+    new = {"text": text, "n_chars": F.coalesce(size, F.col("doc.n_chars"))}
+    return masked.select(*[new.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])
+
+
+def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them, to the nearest whole time.
+
+    Only where a source's target ends within a document is a share rounded.
+    Documents without words stay once: they take nothing from any target.
+    """
+    numbered = _numbered(docs, "text", "source")
+    words = F.regexp_count(text_or_empty("text"), F.lit(WORD)).cast("bigint")
+    mixed, _ = mix_sources(numbered.select("row", "source", words.alias("size")), "row", "source", "size", WEIGHTS)
+    times = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(1).cast("int")
+    counted = mixed.select(F.col("key").alias("row"), times.alias("times")).filter("times > 0")
+    repeated = numbered.select("doc", "row").join(counted, "row")
+    return repeated.withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times")))).select("doc.*")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents and their places in sequences of 4096 tokens."""
+    import public_tokenizers
+
+    return pack_documents(docs.select("doc_id", "text"), "text", public_tokenizers.path(TOKENIZER))
+
+
+STAGES = [
+    ("quality", keep_quality),
+    ("near_dedup", drop_near_duplicates),
+    ("personal_data", mask_personal_data),
+    ("mix", mix_to_weights),
+    ("pack", pack),
+]
+
+#: The fits, fingerprints and token ids of the stages are beyond SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, each over the written rows of the one before."""
+    """All stages over ``documents``, each over the written rows of the one before."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_folder(spark, name)

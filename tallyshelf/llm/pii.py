@@ -237,37 +237,36 @@ def mask_pii(df: DataFrame, text: str) -> DataFrame:
     """``df`` with every span of personal data in ``text`` replaced by its kind in angle brackets.
 
     Where spans overlap, the first one's kind stands for all of them. Texts
-    without spans, NULL included, stay as they are.
+    without spans, NULL included, stay as they are. The rows are numbered and
+    written first, whatever their columns are called, and only the numbers, the
+    spans and the texts meet again.
     """
-    numbered = stored(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    spans = find_pii(numbered.select(F.col("_row").alias("_id"), named(text)), text, ["_id"])
+    whole = F.struct(*map(named, df.columns)).alias("doc")
+    rows = df.select(whole, named(text).alias("text"), F.monotonically_increasing_id().alias("place"))
+    numbered = stored(rows, "numbered")
+    spans = find_pii(numbered.select("place", "text"), "text", ["place"])
 
     def marked(kind):
         return F.transform(kind, lambda x: F.struct(x["start"], x["end"], F.lit(kind).alias("kind")))
 
     every = F.sort_array(F.concat(*map(marked, [*BASE, FOUND])))
-    hits = spans.select(F.col("_id").alias("_row"), every.alias("_spans")).filter(F.size("_spans") > 0)
-    body = numbered.join(hits, "_row", "left")
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
-    source = named(text)
+    hits = spans.select("place", every.alias("spans")).filter(F.size("spans") > 0)
+    body = numbered.join(hits, "place", "left")
+    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(done, x):
         fresh = x["start"] >= done["at"]
-        piece = F.substring(source, (done["at"] + 1).cast("int"), (x["start"] - done["at"]).cast("int"))
-        part = F.array(piece, F.concat(F.lit("<"), F.upper(x["kind"]), F.lit(">")))
+        gap = F.substring("text", (done["at"] + 1).cast("int"), (x["start"] - done["at"]).cast("int"))
+        part = F.array(gap, F.concat(F.lit("<"), F.upper(x["kind"]), F.lit(">")))
         return F.struct(
             F.greatest(done["at"], x["end"]).alias("at"),
             F.when(fresh, F.concat(done["out"], part)).otherwise(done["out"]).alias("out"),
         )
 
-    masked = F.aggregate(
-        "_spans",
-        start,
-        step,
-        lambda done: F.concat(
-            F.array_join(done["out"], ""),
-            F.substring(source, (done["at"] + 1).cast("int"), F.char_length(source)),
-        ),
-    )
-    changed = F.when(F.col("_spans").isNotNull(), masked).otherwise(source)
-    return body.select(*[(changed.alias(c) if c == text else named(c)) for c in df.columns])
+    def finish(done):
+        rest = F.substring("text", (done["at"] + 1).cast("int"), F.char_length("text"))
+        return F.concat(F.array_join(done["out"], ""), rest)
+
+    masked = F.when(F.col("spans").isNotNull(), F.aggregate("spans", begin, step, finish))
+    changed = F.coalesce(masked, F.col("text")).alias(text)
+    return body.select(*[changed if c == text else F.col("doc")[c].alias(c) for c in df.columns])

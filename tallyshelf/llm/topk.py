@@ -13,8 +13,10 @@ from tallyshelf.llm.common import stored
 
 #: Candidates and queries that meet in one group.
 CANDIDATES, QUERIES = 2048, 2048
-#: Rounds in which a block's lists are read to their ends.
-ROUNDS = 4
+#: Shares of a block's lists after which bounds are compared; before the first no one falls out.
+DEPTHS = (0.75, 0.85, 0.95, 1.0)
+#: So many candidates are left for their scores to be resolved, per row wanted.
+RESOLVED = 10
 
 
 class SortedLists:
@@ -32,21 +34,22 @@ class SortedLists:
         decides. What a candidate's read entries add up to, and the worst and the
         current entries of its unread lists, bound its score from both sides. Those
         whose upper bound is under the ``wanted``-th best lower bound cannot qualify,
-        and reading stops when no more are left than are wanted. Equal bounds stay, for ties.
+        and reading stops when few are left, whose scores are then resolved. Equal
+        bounds stay, for ties.
         """
         size = len(self.vectors)
         up, down = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
         used = np.r_[up, down]
         weight = query[used].astype(np.float64)
-        if size <= wanted or not len(used):
+        if size <= RESOLVED * wanted or not len(used):
             return np.arange(size)
         worst = weight * np.r_[self.values[up, -1], self.values[down, 0]]
-        slack = 1e-9 * float(np.abs(weight) @ np.abs(self.values[used]).max(axis=1)) if len(used) else 0.0
+        slack = 1e-9 * float(np.abs(weight) @ np.abs(self.values[used]).max(axis=1))
         read, unread = np.zeros(size), np.ones((size, len(used)))
         alive = np.ones(size, bool)
         if skip is not None:
             alive[skip] = False
-        edges = [size * k // ROUNDS for k in range(ROUNDS + 1)]
+        edges = [0, *(int(size * share) for share in DEPTHS)]
         for first, end in zip(edges, edges[1:], strict=False):
             ids = np.concatenate([self.order[up, first:end], self.order[down, size - end : size - first]])
             entries = np.concatenate([self.values[up, first:end], self.values[down, size - end : size - first]])
@@ -55,15 +58,11 @@ class SortedLists:
             if end == size:
                 break
             frontier = weight * np.r_[self.values[up, end - 1], self.values[down, size - end]]
-            lower, upper = read + unread @ worst, read + unread @ frontier
-            best = lower[alive]
-            if len(best) > wanted:
-                alive &= upper >= np.partition(best, -wanted)[-wanted] - slack
-            if alive.sum() <= wanted:
+            lower, upper = read + (unread @ np.stack([worst, frontier], axis=1)).T
+            alive &= upper >= np.partition(lower[alive], -wanted)[-wanted] - slack
+            if alive.sum() <= RESOLVED * wanted:
                 return np.flatnonzero(alive)
-        best = read[alive]
-        if len(best) > wanted:
-            alive &= read >= np.partition(best, -wanted)[-wanted] - slack
+        alive &= read >= np.partition(read[alive], -wanted)[-wanted] - slack
         return np.flatnonzero(alive)
 
     def top(self, query: np.ndarray, ids: np.ndarray, wanted: int, skip: int | None = None):
