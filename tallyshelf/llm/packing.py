@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import heapq
+import os
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +20,12 @@ from tallyshelf.functions.names import named
 from tallyshelf.llm.common import rank_in_group, salt_of, stored, text_or_empty
 
 MAX_TOKENS, END_ID = 4096, 2
-#: Words whose ids a worker remembers; beyond them it starts anew.
+#: Words and word parts whose ids a worker remembers; beyond them it starts anew.
 REMEMBERED, LONG_WORD = 400_000, 64
+#: Fixed value: how the word tokenizer cuts a lower-case word of printable Latin-1 characters.
+LATIN = re.compile(
+    "'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^a-z0-9ªµºß-öø-ÿ²³¹¼-¾]+"
+)
 #: Rank ranges are looked up by length * 2^RANK_BITS + rank.
 RANK_BITS = 48
 
@@ -28,24 +35,42 @@ Pattern = tuple[tuple[int, int], ...]
 class WordTokens:
     """Token ids of a text as little-endian unsigned 32-bit bytes.
 
-    For tokenizers that drop white space and never join across it: the ids of a
-    text are those of its words one after the other, so each frequent word is
-    encoded once.
+    For the word tokenizer, which lower-cases, drops white space and never joins
+    across it: the ids of a text are those of its words one after the other, and
+    those of a plain word are those of its parts, so each frequent word and part is
+    encoded once. Words with other than printable Latin-1 characters, or with what
+    could be a special token, are encoded whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {"": b""}
+        self.parts: dict[str, bytes] = {}
 
-    def encode(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+    def encode(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, dtype="<u4").tobytes() for one in found]
 
+    def encode_words(self, words: list[str]) -> dict[str, bytes]:
+        cut, parts = {}, self.parts
+        for word in words:
+            plain = word.isprintable() and max(word) <= "\xff" and "<|" not in word
+            cut[word] = LATIN.findall(word.lower()) if plain else None
+        new = list({part for found in cut.values() if found for part in found if part not in parts})
+        if len(parts) + len(new) > REMEMBERED:
+            parts.clear()
+            new = list({part for found in cut.values() if found for part in found})
+        parts.update(zip(new, self.encode(new), strict=True))
+        whole = [word for word, found in cut.items() if found is None]
+        ids = dict(zip(whole, self.encode(whole), strict=True))
+        ids.update((w, b"".join([parts[p] for p in found])) for w, found in cut.items() if found is not None)
+        return ids
+
     def __call__(self, text: str) -> bytes:
         words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        known = self.known
+        known = self.words
         try:
             return b"".join([known[w] for w in words])
         except KeyError:
@@ -54,11 +79,18 @@ class WordTokens:
             known.clear()
             known[""] = b""
             new = list({w for w in words if w})
-        ids = dict(zip(new, self.encode(new), strict=True))
+        ids = self.encode_words(new)
         known.update((w, i) for w, i in ids.items() if len(w) <= LONG_WORD)
         return b"".join([ids[w] if w in ids else known[w] for w in words])
 
 
+@cache
+def word_tokens(path: str) -> WordTokens:
+    """One encoder a worker process, for all its tasks."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return WordTokens(path)
+
+
 def token_pieces(
     df: DataFrame, text: str, tokenizer: str, *, most: int, end_id: int, with_ids: bool
 ) -> DataFrame:
@@ -75,7 +107,7 @@ def token_pieces(
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens(tokenizer)
+        tokens = word_tokens(tokenizer)
         for batch in batches:
             rows, found, ids = [], [], []
             for i, value in enumerate(batch.column(batch.num_columns - 1)):
