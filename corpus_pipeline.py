@@ -33,7 +33,7 @@ def _numbered(docs: DataFrame, *columns: str) -> DataFrame:
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and are no outliers of their language and source."""
-    judged = quality_verdicts(_whole(docs, "text", "lang", "source"), "text", "lang", "source")
+    judged = quality_verdicts(_whole(docs, "text", "lang", "source"), "text", "lang", "source", ["doc"])
     return judged.filter("kept").select("doc.*")
 
 

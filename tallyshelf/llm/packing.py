@@ -21,7 +21,7 @@ from tallyshelf.llm.common import rank_in_group, salt_of, stored, text_or_empty
 
 MAX_TOKENS, END_ID = 4096, 2
 #: Words and word parts whose ids a worker remembers; beyond them it starts anew.
-REMEMBERED, LONG_WORD = 400_000, 64
+REMEMBERED, LONG_WORD = 600_000, 64
 #: Fixed value: how the word tokenizer cuts a lower-case word of printable Latin-1 characters.
 LATIN = re.compile(
     "'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^a-z0-9ªµºß-öø-ÿ²³¹¼-¾]+"
@@ -53,10 +53,10 @@ class WordTokens:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, dtype="<u4").tobytes() for one in found]
 
-    def encode_words(self, words: list[str]) -> dict[str, bytes]:
+    def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
         cut, parts = {}, self.parts
         for word in words:
-            plain = word.isprintable() and max(word) <= "\xff" and "<|" not in word
+            plain = word.isprintable() and (word.isascii() or max(word) <= "\xff") and "<|" not in word
             cut[word] = LATIN.findall(word.lower()) if plain else None
         new = list({part for found in cut.values() if found for part in found if part not in parts})
         if len(parts) + len(new) > REMEMBERED:
@@ -71,17 +71,15 @@ class WordTokens:
     def __call__(self, text: str) -> bytes:
         words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         known = self.words
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            new = list({w for w in words if w not in known})
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            known[""] = b""
-            new = list({w for w in words if w})
-        ids = self.encode_words(new)
-        known.update((w, i) for w, i in ids.items() if len(w) <= LONG_WORD)
-        return b"".join([ids[w] if w in ids else known[w] for w in words])
+        found = list(map(known.get, words))
+        if None in found:
+            new = self.encode_words({w for w, ids in zip(words, found, strict=True) if ids is None})
+            found = [new[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
+            if len(known) + len(new) > REMEMBERED:
+                known.clear()
+                known[""] = b""
+            known.update((w, ids) for w, ids in new.items() if len(w) <= LONG_WORD)
+        return b"".join(found)
 
 
 @cache

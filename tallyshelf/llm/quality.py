@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tallyshelf.functions.names import named
 from tallyshelf.llm.common import WORD, stored, text_or_empty
@@ -21,6 +22,8 @@ STEPS = 4
 LEAST_GROUP = 50
 #: Words of the average kind that every text's ratios are mixed with: short texts vary more.
 PSEUDO_WORDS, PSEUDO_LENGTH = 50.0, 5.5
+STATISTICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals"]
+VERDICT = ["base_failed", "distance", "kept"]
 #: The vector, and per component the least standard deviation that counts.
 FLOORS = {"v_length": 0.05, "v_symbols": 0.1, "v_repeats": 0.1, "v_lines": 0.1, "v_capitals": 0.05}
 VECTOR = list(FLOORS)
@@ -72,7 +75,7 @@ def text_statistics(df: DataFrame, text: str) -> DataFrame:
         lambda i, k: F.least(F.lit(WINDOW_WORDS), F.coalesce(F.get("_begins", k + 1), i + WINDOW_WORDS) - i),
     )
     total = F.coalesce(F.aggregate(covered, F.lit(0), lambda a, b: a + b), F.lit(0)).cast("bigint")
-    added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_capitals"]
+    added = [c for c in STATISTICS if c != "n_repeat_words"]
     own = [c for c in body.columns if c not in (*added, "_begins")]
     # A generator of one row: a filter on the statistics would else be pushed below the
     # projections above, with their array functions inlined into one another.
@@ -155,8 +158,6 @@ def _nearest(rows: DataFrame, shapes: DataFrame) -> DataFrame:
     The rows are summed by group and bin of distance; the nearest bins that hold
     the share make the new half-set, so no group is sorted or gathered.
     """
-    from pyspark.sql.window import Window
-
     far = distance()
     octave = F.floor(F.log2(F.greatest(far, F.lit(1e-9))) * BINS_PER_OCTAVE)
     binned = rows.join(shapes.drop("n"), "group").withColumn(
@@ -203,8 +204,10 @@ def group_of(language: str, source: str) -> Column:
     return F.to_json(F.struct(named(language).alias("l"), named(source).alias("s")))
 
 
-def quality_verdicts(df: DataFrame, text: str, language: str, source: str) -> DataFrame:
-    """``df`` with its statistics, ``base_failed``, ``distance`` and ``kept``.
+def quality_verdicts(
+    df: DataFrame, text: str, language: str, source: str, keep: Sequence[str] | None = None
+) -> DataFrame:
+    """``keep`` columns of ``df`` (all by default), its statistics, ``base_failed``, ``distance``, ``kept``.
 
     A document is kept unless it fails the base rules (under 10 words, or over a
     fifth of its words in repeated 5-word windows) or its vector of transformed
@@ -214,39 +217,35 @@ def quality_verdicts(df: DataFrame, text: str, language: str, source: str) -> Da
     over all documents. Documents that fail the base rules do not take part in
     the estimates.
 
-    NULL languages and sources form groups of their own; a NULL text is empty and
-    fails the base rules. The texts are read twice, once for the estimates; what
-    is written and shuffled is the vectors. Repeated rows stay. Columns with the
-    names added, or beginning with ``_``, ``c_``, ``l_`` or ``v_``, are replaced or dropped.
+    The texts are read once: the kept columns are written beside the statistics,
+    and all estimates read those. NULL languages and sources form groups of their
+    own; a NULL text is empty and fails the base rules. Repeated rows stay. Kept
+    columns with the names added are replaced; an empty table gives an empty table.
     """
-    added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals"]
-    added += ["base_failed", "distance", "kept", "group", "n"]
-    own = [c for c in df.columns if c not in added and not c.startswith(("_", "c_", "l_", "v_"))]
-    rows = text_statistics(df.select(*map(named, own)), text).withColumn("group", group_of(language, source))
-    rows = rows.withColumn("base_failed", base_failed())
-    for name, column in vector().items():
-        rows = rows.withColumn(name, column)
-    sound = stored(rows.filter("NOT base_failed").select("group", *VECTOR), "vectors")
-    return _judged(rows, robust_shapes(sound), sound, own)
-
-
-def _judged(rows: DataFrame, shapes: DataFrame, sound: DataFrame, own: list[str]) -> DataFrame:
+    own = [c for c in (df.columns if keep is None else keep) if c not in (*STATISTICS, *VERDICT)]
+    body = df.select(
+        F.struct(*map(named, own)).alias("own"),
+        named(text).alias("text"),
+        group_of(language, source).alias("group"),
+    )
+    rows = text_statistics(body, "text").drop("text").withColumn("base_failed", base_failed())
+    rows = stored(rows.select("*", *[column.alias(name) for name, column in vector().items()]), "statistics")
+    sound = rows.filter("NOT base_failed").select("group", *VECTOR)
+    judged = _judged(rows, robust_shapes(sound), sound)
+    return judged.select(*[F.col("own")[c].alias(c) for c in own], *STATISTICS, *VERDICT)
+
+
+def _judged(rows: DataFrame, shapes: DataFrame, sound: DataFrame) -> DataFrame:
+    """``rows`` with ``distance`` and ``kept``, by the shape of the group or else the pooled one."""
     sizes = sound.groupBy("group").agg(F.count("*").alias("members"))
     large = sizes.filter(F.col("members") >= LEAST_GROUP).select("group")
     fit = stored(shapes.drop("n").join(large, "group", "left_semi"), "fitted")
-    pooled = stored(
-        shapes.filter(F.col("group") == POOLED).select(
-            *[F.col(c).alias(f"pooled_{c}") for c in shapes.columns if c not in ("group", "n")]
-        ),
-        "pooled",
-    )
     names = [c for c in shapes.columns if c not in ("group", "n")]
+    pooled = shapes.filter(F.col("group") == POOLED).select(*[F.col(c).alias(f"pooled_{c}") for c in names])
     # One row, or none when no document passed the base rules.
     joined = rows.join(fit, "group", "left").join(F.broadcast(pooled), F.lit(True), "left")
-    for name in names:
-        joined = joined.withColumn(name, F.coalesce(name, f"pooled_{name}"))
-    far = F.when(~F.col("base_failed"), distance())
-    judged = joined.withColumn("distance", far)
-    judged = judged.withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= CUTOFF))
-    statistics = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals"]
-    return judged.select(*map(named, own), *statistics, "base_failed", "distance", "kept")
+    own = [c for c in rows.columns if c != "group"]
+    fitted = joined.select(*own, *[F.coalesce(n, f"pooled_{n}").alias(n) for n in names])
+    judged = fitted.withColumn("distance", F.when(~F.col("base_failed"), distance()))
+    near = F.coalesce("distance", F.lit(0.0)) <= CUTOFF
+    return judged.withColumn("kept", ~F.col("base_failed") & near)

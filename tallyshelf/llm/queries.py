@@ -82,7 +82,7 @@ def format_all_conversations(spark, sf_dir):
 
 def judge_documents(spark, sf_dir):
     """All documents with their statistics, the base verdict and the robust one."""
-    judged = quality_verdicts(table(spark, sf_dir, "documents"), "text", "lang", "source")
+    judged = quality_verdicts(table(spark, sf_dir, "documents"), "text", "lang", "source", ["doc_id"])
     statistics = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return judged.select("doc_id", *statistics, "base_failed", "kept", "distance")
 
