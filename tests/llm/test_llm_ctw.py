@@ -1,0 +1,131 @@
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tallyshelf.llm.ctw import DEPTH, grams, log_gamma, score_texts
+
+SCHEMA = "doc_id bigint, text string"
+
+
+def held_out(key):
+    return zlib.crc32(("" if key is None else str(key)).encode()) % 10 == 0
+
+
+class Tree:
+    """Context-tree weighting node by node, by its definition."""
+
+    def __init__(self, texts):
+        self.counts = {}
+        for text in texts:
+            for context, tree, bit in self.decisions(text):
+                for depth in range(DEPTH + 1):
+                    node = self.counts.setdefault((tree, context[:depth]), [0, 0])
+                    node[bit] += 1
+
+    @staticmethod
+    def decisions(text):
+        data = bytes(DEPTH) + text.encode() + b"\0"
+        for at in range(DEPTH, len(data)):
+            context = data[at - DEPTH : at][::-1]
+            for level in range(8):
+                prefix = 1 << level | data[at] >> (8 - level)
+                yield context, prefix, data[at] >> (7 - level) & 1
+
+    def estimate(self, node):
+        a, b = self.counts[node]
+        return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
+
+    def prepare(self):
+        self.own = {node: self.estimate(node) for node in self.counts}
+        self.weighted, below = {}, Counter()
+        for node in sorted(self.counts, key=lambda n: -len(n[1])):
+            own = self.own[node]
+            self.weighted[node] = own if len(node[1]) == DEPTH else math.log(0.5) + np.logaddexp(own, below[node])
+            if node[1]:
+                below[node[0], node[1][:-1]] += self.weighted[node]
+
+    def log10(self, text):
+        total = 0.0
+        for context, tree, bit in self.decisions(text):
+            p = 0.5
+            for depth in range(DEPTH, -1, -1):
+                node = (tree, context[:depth])
+                n = self.counts.get(node, [0, 0])
+                kt = (n[bit] + 0.5) / (sum(n) + 1)
+                if depth == DEPTH:
+                    p = kt
+                else:
+                    share = math.exp(math.log(0.5) + self.own.get(node, 0.0) - self.weighted.get(node, 0.0)) if node in self.own else 0.5
+                    p = share * kt + (1 - share) * p
+            total += math.log10(p)
+        return total
+
+
+def brute(rows):
+    train = [t or "" for k, t in rows if not held_out(k)]
+    split = lambda t: [*(t or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).translate(str.maketrans("\t\n\x0b\x0c\r", "     ")).split(" ")]
+    tokens = lambda t: [w for w in split(t) if w] + ["\0 end"]
+    count = Counter(w for t in train for w in tokens(t))
+    total, distinct = sum(count.values()), len(count)
+    tree = Tree(train)
+    tree.prepare()
+    out = []
+    for key, text in rows:
+        found = tokens(text)
+        base = sum(math.log10((count[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in found)
+        known = sum(count[w] > 0 for w in found)
+        out.append((key, held_out(key), len(found), known, total, base, tree.log10(text or "")))
+    return sorted(out, key=str)
+
+
+def corpus(rng, n=60):
+    words = ["the", "The", "of", "Öl", "tion", "ing", "日本", "a"] + [f"w{i}" for i in range(30)]
+    rows = [(i, " ".join(rng.choices(words, k=rng.randint(0, 30)))) for i in range(n)]
+    return [*rows, (900, None), (901, ""), (902, " \n"), (None, "the of"), (5, "again the same key"), (5, "again the same key")]
+
+
+@pytest.mark.parametrize("more", [{}, {"frequent": 5}, {"held_grams": 0}, {"frequent": 3, "held_grams": 0}])
+def test_scores_equal_the_definition(spark, more):
+    rows = corpus(random.Random(1))
+    out = score_texts(spark.createDataFrame(rows, SCHEMA), "doc_id", "text", **more).collect()
+    got = sorted(
+        ((r.key, r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in out), key=str
+    )
+    want = brute(rows)
+    assert [g[:5] for g in got] == [w[:5] for w in want]
+    assert np.allclose([g[5] for g in got], [w[5] for w in want])
+    assert np.allclose([g[6] for g in got], [w[6] for w in want])
+
+
+def test_a_good_model_beats_word_frequencies_on_held_out_text(spark):
+    rng = random.Random(3)
+    syllables = ["tho", "re", "an", "ing", "ed", "st", "er"]
+    rows = [(i, " ".join("".join(rng.choices(syllables, k=rng.randint(2, 4))) for _ in range(60))) for i in range(300)]
+    out = [r for r in score_texts(spark.createDataFrame(rows, SCHEMA), "doc_id", "text").collect() if r.held_out]
+    assert len(out) > 10
+    assert sum(r.score for r in out) > sum(r.base_score for r in out)
+    bits = -sum(r.score for r in out) / math.log10(2) / sum(r.n_bytes + 1 for r in out)
+    assert bits < 1.6
+
+
+def test_empty_and_untrained_tables(spark):
+    assert score_texts(spark.createDataFrame([], SCHEMA), "doc_id", "text").count() == 0
+    key = next(i for i in range(100) if held_out(i))
+    row = score_texts(spark.createDataFrame([(key, "a b")], SCHEMA), "doc_id", "text").first()
+    assert (row.train_tokens, row.n_known, row.n_tokens) == (0, 0, 3)
+    assert row.score == pytest.approx(4 * 8 * math.log10(0.5))
+
+
+def test_log_gamma():
+    x = np.r_[0.5, 1.0, 1.5, 2.5, 7.5, 8.0, 30.5, 1e6 + 0.5]
+    assert np.allclose(log_gamma(x), [math.lgamma(v) for v in x], rtol=1e-12, atol=1e-10)
+
+
+def test_grams_do_not_cross_texts():
+    codes, sizes = grams([b"ab", b"", b"c"])
+    assert sizes.tolist() == [3, 1, 2]
+    assert [int(c) for c in codes] == [0x61, 0x6162, 0x616200, 0, 0x63, 0x6300]

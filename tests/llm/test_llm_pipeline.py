@@ -1,0 +1,117 @@
+import os
+import random
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tallyshelf.llm.oracles import ORACLES
+from tallyshelf.llm.queries import QUERIES
+
+SMALL = "/root/testdata/sf0.001"
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+needs_data = pytest.mark.skipif(not os.path.isdir(SMALL), reason="the provided tables are not here")
+
+
+def documents(spark, rows, schema=SCHEMA):
+    return spark.createDataFrame(rows, schema)
+
+
+
+def plain(rng, n=60):
+    return " ".join(rng.choice("abcdefghkl") * rng.randint(1, 3) + rng.choice(["ing", "ed", "tion", "er"]) for _ in range(n))
+
+
+def corpus(n=80):
+    rng = random.Random(1)
+    rows = [(i, plain(rng, rng.randint(40, 120)), "en", f"s{i % 4}", None) for i in range(n)]
+    rows += [(1000 + i, rows[i][1], "en", "s0", 5) for i in range(10)]  # copies
+    rows += [(None, plain(rng), None, None, None), (3, plain(rng) + " mail a.b@c.de or +1 (369) 555-1339", "en", "s1", 7)]
+    rows += [(2000, None, None, None, None), (2001, "", "en", "s0", 0), (2002, "few words", "en", "s0", 9)]
+    return rows
+
+
+def test_stages_are_named_as_ordered():
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "near_dedup", "personal_data", "mix", "pack"]
+
+
+def test_all_stages_over_odd_rows(spark, tmp_path):
+    docs = documents(spark, corpus())
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, "")
+        if name != "pack":
+            assert out.columns == docs.columns
+            assert [f.dataType for f in out.schema] == [f.dataType for f in docs.schema]
+        out.write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        kept[name] = docs.collect()
+    assert {r.doc_id for r in kept["quality"]} == {None, *range(80), *range(1000, 1010)}
+    texts = [r.text for r in kept["near_dedup"]]
+    assert len(texts) == len(set(texts)) == 82
+    masked = [r for r in kept["personal_data"] if "<EMAIL>" in r.text]
+    assert len(masked) == 1 and masked[0].text.endswith("mail <EMAIL> or <PHONE>")
+    assert masked[0].n_chars == len(masked[0].text)
+    words = {}
+    for r in kept["mix"]:
+        words[r.source] = words.get(r.source, 0) + len(r.text.split())
+    assert words["s0"] > words["s1"] > words["s2"]
+    assert sum(r.length for r in kept["pack"]) > sum(words.values())
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_empty_tables(spark, name, stage):
+    assert stage(spark, documents(spark, []), "").count() == 0
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES[:4])
+def test_columns_with_clashing_names(spark, name, stage):
+    more = "doc string, row int, kept boolean, _row int, component string, spans string, size int, times int, c_0 double"
+    values = ("d", 1, False, 2, "c", "s", 3, 4, 0.5)
+    rng = random.Random(2)
+    docs = documents(spark, [(i, plain(rng), "en", "s", None, *values) for i in range(3)], f"{SCHEMA}, {more}")
+    out = stage(spark, docs, "")
+    assert out.columns == docs.columns
+    rows = out.collect()
+    assert len(rows) == 3 and all(tuple(r)[5:] == values for r in rows)
+
+
+def test_stages_by_brute_force(spark):
+    """Deduplication keeps one of each set of equal texts; the mix repeats to the nearest time."""
+    rng = random.Random(3)
+    texts = [plain(rng, 50) for _ in range(12)]
+    docs = documents(spark, [(i, texts[i % 12], "en", "s", 0) for i in range(36)])
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert sorted(r.text for r in out.collect()) == sorted(set(texts))
+    even = documents(spark, [(i, "a b c d", "en", f"s{i % 2}", 0) for i in range(70)])
+    mixed = corpus_pipeline.mix_to_weights(spark, even, "")
+    assert {r.source: r["count"] for r in mixed.groupBy("source").count().collect()} == {"s0": 50, "s1": 20}
+
+
+@needs_data
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_queries_equal_their_oracles(spark, name):
+    con = duckdb.connect()
+    for file in os.listdir(SMALL):
+        con.execute(f"CREATE VIEW {file.split('.')[0]} AS SELECT * FROM read_parquet('{SMALL}/{file}')")
+    want = con.execute(ORACLES[name]).fetchdf()
+    got = QUERIES[name](spark, SMALL).toPandas()
+    columns = sorted(want.columns)
+    assert sorted(got.columns) == columns
+    rows = [sorted(map(str, f[columns].astype(object).values.tolist())) for f in (got, want)]
+    assert rows[0] == rows[1]
+
+
+@needs_data
+def test_queries_return_a_row_for_each_of_the_whole_table(spark):
+    whole = spark.read.parquet(f"{SMALL}/documents.parquet").count()
+    for name in QUERIES:
+        if name.startswith(("op2_", "op3_", "op5_", "op6_", "op7_", "op9_", "op10_")):
+            assert QUERIES[name](spark, SMALL).select(F.countDistinct("doc_id")).first()[0] == whole, name
+
+
+@needs_data
+def test_scanned_counts_of_licences(spark):
+    out = QUERIES["op7_suffix_licenses"](spark, SMALL)
+    assert out.filter("NOT score BETWEEN 0 AND 1").count() == 0
