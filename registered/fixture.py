@@ -12,17 +12,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyshelf.functions.bands import up_to
+from tallyshelf.functions.names import named
 from tallyshelf.operators.clean import clean
 from tallyshelf.operators.reshape import melt_votes
 from tallyshelf.spec import CatalogSpec
 
-# The codes of a line, which play platforms and categories, and the
-# event types, which play the tags.
-RETURN_FLAGS = ["A", "N", "R"]
-LINE_STATUSES = ["F", "O"]
+# The return codes that have a flag.
 FLAGS = {"on_a": ("platforms", "A"), "on_n": ("platforms", "N"), "on_r": ("platforms", "R")}
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
-MASK_BITS = 63
 ACHIEVEMENT_BANDS = up_to("0", [("1-2", 2), ("3-4", 4)], "5+")
 
 SPEC = CatalogSpec(
@@ -110,21 +106,16 @@ def items_base(
 
 
 def _lines_per_order(spark: SparkSession, sf_dir: str, wanted: set[str]) -> DataFrame:
+    """The lines of an order in one row. All texts and codes count, whatever there are of them."""
     lines = table(spark, sf_dir, "lineitem")
-    measures = {}
     if "genres" in wanted:
-        parts = table(spark, sf_dir, "part")
-        parts, measures["genres"] = _set_of_types(parts)
+        parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
         lines = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
-
-    def present(column, codes):
-        found = [F.when(F.bool_or(F.col(column) == c), F.lit(c)) for c in codes]
-        return F.concat_ws(";", *found)
-
     returned = F.col("l_returnflag") == "R"
-    measures |= {
-        "platforms": present("l_returnflag", RETURN_FLAGS),
-        "categories": present("l_linestatus", LINE_STATUSES),
+    measures = {
+        "genres": _distinct_tokens("p_type"),
+        "platforms": _distinct_tokens("l_returnflag"),
+        "categories": _distinct_tokens("l_linestatus"),
         "positive_ratings": F.count_if(~returned),
         "negative_ratings": F.count_if(returned),
         "average_playtime": F.sum("l_quantity").cast("int"),
@@ -135,25 +126,10 @@ def _lines_per_order(spark: SparkSession, sf_dir: str, wanted: set[str]) -> Data
     )
 
 
-def _set_of_types(parts: DataFrame) -> tuple[DataFrame, Column]:
-    """The part table, and the aggregate that joins the distinct types of a group of its rows.
-
-    ``collect_set`` aggregates objects and sorts its input once a task has seen
-    128 groups. A vocabulary that fits the bits of a bigint, which one small job
-    finds out, needs neither: each part carries its type's bit, and a group of
-    lines combines them in a plain hash aggregate.
-    """
-    sample = parts.select("p_type").filter("p_type IS NOT NULL").distinct().limit(MASK_BITS + 1)
-    types = sorted(row[0] for row in sample.collect())
-    if not 0 < len(types) <= MASK_BITS:
-        found = F.array_sort(F.collect_set("p_type"))
-        return parts, F.when(F.size(found) > 0, F.array_join(found, ";"))
-    bits = F.create_map(*[F.lit(v) for i, t in enumerate(types) for v in (t, 1 << i)])
-    mask = F.bit_or("type_bit")
-    names = [F.when(F.getbit(mask, F.lit(i)) == 1, F.lit(t)) for i, t in enumerate(types)]
-    bit = F.try_element_at(bits, F.col("p_type")).cast("bigint")
-    coded = parts.select("p_partkey", bit.alias("type_bit"))
-    return coded, F.when(mask.isNotNull(), F.concat_ws(";", *names))
+def _distinct_tokens(column: str) -> Column:
+    """The distinct texts of a group in order, joined; NULL if there are none."""
+    found = F.collect_set(column)
+    return F.when(F.size(found) > 0, F.array_join(F.array_sort(found), ";"))
 
 
 def items_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,13 +149,19 @@ def items(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 def tags_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User x event type counts of the events above 100, as text."""
+    """User x event type matrix of whole hundreds of value, as text.
+
+    Every event counts, and each type the events have is a column; a wide table must know
+    its columns when it is planned, so the types are listed first. ``pivot`` fails
+    beyond its limit of 10,000 types, it drops none.
+    """
     events = table(spark, sf_dir, "events")
-    counted = [
-        F.count_if((F.col("event_type") == t) & (F.col("value") > 100)).cast("string").alias(t)
-        for t in EVENT_TYPES
-    ]
-    return events.groupBy("user_id").agg(*counted)
+    votes = F.sum(F.floor(F.col("value") / 100))
+    wide = events.groupBy("user_id").pivot("event_type").agg(votes)
+    cells = [c for c in wide.columns if c != "user_id"]
+    return wide.select(
+        "user_id", *[F.coalesce(named(c), F.lit(0)).cast("string").alias(c) for c in cells]
+    )
 
 
 def tags_long(spark: SparkSession, sf_dir: str) -> DataFrame:

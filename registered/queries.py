@@ -14,13 +14,21 @@ from tallyshelf.operators.clean import clean
 from tallyshelf.operators.dedup import first_per_key
 from tallyshelf.operators.reshape import explode_tokens, melt_votes
 from tallyshelf.plans import reports
-from tallyshelf.plans.jobs import publish_job
-from tallyshelf.sources.readers import read_feed, read_record, read_result, read_table
+from tallyshelf.plans.jobs import clean_job, export_job, publish_job, row_counts
+from tallyshelf.sources.readers import (
+    NULL_MARK,
+    read_feed,
+    read_record,
+    read_result,
+    read_table,
+    register_views,
+)
 from tallyshelf.sources.scratch import scratch_folder
 from tallyshelf.sources.writers import (
     flatten_table,
     save_record,
     save_result,
+    write_csv,
     write_partitioned,
     write_table,
 )
@@ -60,7 +68,7 @@ def melted_votes(spark, d):
 
 
 def quality(spark, d):
-    return reports.quality_report(clean(items_raw(spark, d), SPEC))
+    return reports.quality_report(items(spark, d, "release_date", "price", *RATINGS))
 
 
 def by_year(spark, d):
@@ -160,14 +168,14 @@ def kpi_summary(spark, d):
 def csv_feed_clean(spark, d):
     """The whole feed written as CSV, read back as text and cleaned."""
     path = scratch_folder(spark, "feed")
-    items_raw(spark, d).write.option("header", True).option("escape", '"').csv(path)
-    return clean(read_feed(spark, path, fixture.COLUMNS), SPEC)
+    write_csv(items_raw(spark, d), path)
+    return clean(read_feed(spark, path, fixture.COLUMNS, null=NULL_MARK), SPEC)
 
 
 def csv_wide_melt(spark, d):
     """The wide matrix written as CSV, read back by its header and melted."""
     path = scratch_folder(spark, "matrix")
-    tags_wide(spark, d).write.option("header", True).csv(path)
+    write_csv(tags_wide(spark, d), path)
     return melt_votes(read_feed(spark, path), "user_id", key_type="bigint")
 
 
@@ -177,8 +185,8 @@ def csv_free_text(spark, d):
     documents = table(spark, d, "documents").select(
         F.col("doc_id").cast("string").alias("doc_id"), "text", "lang"
     )
-    documents.write.option("header", True).option("escape", '"').csv(path)
-    return read_feed(spark, path, documents.columns, free_text=True)
+    write_csv(documents, path)
+    return read_feed(spark, path, documents.columns, free_text=True, null=NULL_MARK)
 
 
 def partition_roundtrip(spark, d):
@@ -237,6 +245,120 @@ def exported_kpis(spark, d):
     return read_record(spark, path, record.schema)
 
 
+def sql_views(spark, d):
+    """Reports as SQL over session views: years, free and paid, makers, platforms, tags, achievements."""
+    columns = ["release_date", "price", "developer", "publisher", "platforms", "achievements"]
+    register_views(
+        spark,
+        shelf_items=items(spark, d, *columns, "average_playtime", *RATINGS),
+        shelf_tags=tags_long(spark, d),
+    )
+    return spark.sql(
+        """
+        SELECT 'q1' AS report, CAST(release_year AS STRING) AS name, CAST(count(*) AS DOUBLE) AS value
+        FROM shelf_items WHERE release_year BETWEEN 1996 AND 2000 GROUP BY release_year
+        UNION ALL
+        SELECT 'q3', CASE WHEN is_free THEN 'free' ELSE 'paid' END, CAST(count(*) AS DOUBLE)
+        FROM shelf_items GROUP BY 2
+        UNION ALL
+        (SELECT 'q5', developer, CAST(count(*) AS DOUBLE) AS n FROM shelf_items
+         WHERE developer IS NOT NULL GROUP BY developer ORDER BY n DESC, developer LIMIT 12)
+        UNION ALL
+        (SELECT 'q5', publisher, CAST(sum(positive_ratings) AS DOUBLE) AS pos FROM shelf_items
+         WHERE publisher IS NOT NULL GROUP BY publisher ORDER BY pos DESC, publisher LIMIT 12)
+        UNION ALL
+        SELECT 'q6', CAST(release_year AS STRING), round(avg(CAST(on_n AS INT)), 3)
+        FROM shelf_items WHERE release_year BETWEEN 1996 AND 2000 GROUP BY release_year
+        UNION ALL
+        (SELECT 'q7', tag, CAST(sum(votes) AS DOUBLE) AS total FROM shelf_tags
+         GROUP BY tag ORDER BY total DESC, tag LIMIT 20)
+        UNION ALL
+        SELECT 'q8', CAST(achievements AS STRING), round(avg(average_playtime) / 60, 2)
+        FROM shelf_items WHERE total_ratings >= 1 GROUP BY achievements
+        """
+    )
+
+
+def export_all(spark, d):
+    """The whole export, all ten results read back, one row per result, row and measure."""
+    out = scratch_folder(spark, "export")
+    export_job(
+        items(spark, d, *fixture.COLUMNS),
+        tags_long(spark, d),
+        out,
+        first_year=FIRST,
+        last_year=LAST,
+        rates=RATES,
+        shares=KPIS,
+        min_ratings=1,
+        min_items=30,
+        achievement_bands=fixture.ACHIEVEMENT_BANDS,
+    )
+    keys = {
+        "q1_release": "release_year",
+        "q2_genre": "genre",
+        "q3_price": "price_band",
+        "q4_playtime": "genre",
+        "q5_dev": "developer",
+        "q5_pub": "publisher",
+        "q6_platform": "release_year",
+        "q7_tags": "tag",
+        "q8_ach": "ach_band",
+    }
+    parts = []
+    for name, key in keys.items():
+        result = read_feed(spark, f"{out}/{name}", null=NULL_MARK)
+        measures = [c for c in result.columns if c != key]
+        long = result.unpivot([key], measures, "measure", "value")
+        parts.append(
+            long.select(
+                F.lit(name).alias("result"),
+                F.col(key).alias("name"),
+                "measure",
+                F.col("value").cast("double").alias("value"),
+            )
+        )
+    record = kpi_summary(spark, d)
+    kpis = read_record(spark, f"{out}/summary", record.schema)
+    kpis = kpis.select(*[F.col(c).cast("double").alias(c) for c in kpis.columns])
+    whole = kpis.unpivot([], kpis.columns, "measure", "value")
+    parts.append(whole.select(F.lit("summary").alias("result"), F.lit("all").alias("name"), "measure", "value"))
+    united = parts[0]
+    for part in parts[1:]:
+        united = united.unionByName(part)
+    return united
+
+
+def clean_job_counts(spark, d):
+    """The cleaning job over CSV feeds: its report, and rows of the feed and both clean tables."""
+    zone = scratch_folder(spark, "job")
+    write_csv(items_raw(spark, d), f"{zone}/items", null="")
+    write_csv(tags_wide(spark, d).withColumnRenamed("user_id", SPEC.key), f"{zone}/tags", null="")
+    report = clean_job(spark, f"{zone}/items", f"{zone}/tags", f"{zone}/clean", SPEC)
+    quality_rows = report.select(*[F.col(c).cast("double").alias(c) for c in report.columns])
+    quality_rows = quality_rows.unpivot([], quality_rows.columns, "name", "value")
+    counted = row_counts(spark, f"{zone}/items", f"{zone}/clean")
+    return quality_rows.unionByName(
+        counted.select(F.concat(F.lit("rows_"), "table").alias("name"), F.col("n").cast("double").alias("value"))
+    )
+
+
+def warehouse_tiers(spark, d):
+    """The flat publish: price tiers read from the catalog, with the tables it lists."""
+    zone, database = scratch_folder(spark, "zone"), "tallyshelf_flat"
+    rows = items(spark, d, "release_date", "price", *RATINGS)
+    write_partitioned(rows, f"{zone}/games", SPEC.year)
+    write_table(tags_long(spark, d), f"{zone}/tags_long")
+    tables = publish_job(
+        spark, zone, database, warehouse_zone=f"{zone}/flat", location=f"{zone}/database"
+    )
+    listed = tables.filter("NOT isTemporary").agg(
+        F.array_join(F.array_sort(F.collect_list("tableName")), ",").alias("tables")
+    )
+    tiers = reports.price_tier_stats(spark.table(f"{database}.games"))
+    return tiers.join(listed, how="cross")
+
+
 QUERIES: dict[str, Query] = {
     "clean_items": clean_items,
     "dedup_items": dedup_items,
@@ -275,4 +397,8 @@ QUERIES: dict[str, Query] = {
     "warehouse_tags": warehouse_tags,
     "exported_genres": exported_genres,
     "exported_kpis": exported_kpis,
+    "sql_views": sql_views,
+    "export_all": export_all,
+    "clean_job_counts": clean_job_counts,
+    "warehouse_tiers": warehouse_tiers,
 }

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tallyshelf.functions.casts import to_integral
+
 
 def guarded_ratio(part: Column, rest: Column) -> Column:
     """``part / (part + rest)``, NULL when the sum is NULL or not positive."""
@@ -30,9 +32,9 @@ def token_count(text: Column, delimiter: str, null_count: int | None = None) ->
 
 
 def interval_bounds(text: Column, delimiter: str) -> tuple[Column, Column]:
-    """Both ends of a ``low-high`` text as bigint, NULL where one is missing or bad."""
+    """Both ends of a ``low-high`` text as bigint, fractions cut off, NULL where one is missing or bad."""
     ends = tokens(text, delimiter)
-    return tuple(F.get(ends, F.lit(i)).try_cast("bigint") for i in (0, 1))
+    return tuple(to_integral(F.get(ends, F.lit(i)), "bigint") for i in (0, 1))
 
 
 def interval_middle(low: Column, high: Column) -> Column:

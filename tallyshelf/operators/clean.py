@@ -44,26 +44,26 @@ def derive_columns(items: DataFrame, spec: CatalogSpec, null_count: int | None =
     have = set(items.columns)
     derived: dict[str, Column] = {}
     if spec.date in have:
-        derived[spec.year] = F.year(spec.date)
+        derived[spec.year] = F.year(named(spec.date))
     if {spec.positive, spec.negative} <= have:
-        positive, negative = F.col(spec.positive), F.col(spec.negative)
+        positive, negative = named(spec.positive), named(spec.negative)
         derived[spec.total] = F.try_add(positive, negative)
         derived[spec.ratio] = guarded_ratio(positive, negative)
     if spec.price in have:
-        derived[spec.free] = F.col(spec.price) == 0
+        derived[spec.free] = named(spec.price) == 0
     if spec.interval in have:
-        low, high = interval_bounds(F.col(spec.interval), spec.interval_delimiter)
+        low, high = interval_bounds(named(spec.interval), spec.interval_delimiter)
         derived[f"{spec.interval}_low"] = low
         derived[f"{spec.interval}_high"] = high
         derived[f"{spec.interval}_mid"] = interval_middle(low, high)
     for name, source in spec.token_counts.items():
         if source in have:
-            derived[name] = token_count(F.col(source), spec.token_delimiter, null_count)
+            derived[name] = token_count(named(source), spec.token_delimiter, null_count)
     for name, (source, word) in spec.flags.items():
         if source in have:
-            derived[name] = F.col(source).contains(word)
+            derived[name] = named(source).contains(word)
     kept = [
-        clamp_negative(F.col(c)).alias(c) if c == spec.price else named(c)
+        clamp_negative(named(c)).alias(c) if c == spec.price else named(c)
         for c in items.columns
     ]
     return items.select(*kept, *[e.alias(n) for n, e in derived.items()])
@@ -71,7 +71,7 @@ def derive_columns(items: DataFrame, spec: CatalogSpec, null_count: int | None =
 
 def valid_rows(items: DataFrame, spec: CatalogSpec) -> DataFrame:
     """Rows with a key and a label that is not blank."""
-    return items.filter(F.col(spec.key).isNotNull() & non_blank(F.col(spec.label)))
+    return items.filter(named(spec.key).isNotNull() & non_blank(named(spec.label)))
 
 
 def clean(

@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyshelf.functions.names import named
+
 
 def equal_width_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """``(bin, bin_low, bin_high, n)`` for ``bins`` equal bins over [min, max].
 
     Bins are closed on the left, the last one on both sides. A column with one
-    value gets a range of 1 around it. Empty bins appear with 0; NULL and NaN
-    values are in none. Two scans of one column (the range, then the counts) and
+    value gets a range of 1 around it. Empty bins appear with 0; NULL, NaN and
+    infinite values are in none. Two scans of one column (the range, then the counts) and
     a shuffle of at most ``bins`` rows per task; no value reaches the driver.
     """
-    values = df.select(F.col(column).cast("double").alias("x")).filter("x IS NOT NULL AND NOT isnan(x)")
+    x = named(column).cast("double")
+    values = df.select(x.alias("x")).filter(F.abs("x") < float("inf"))
     extent = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     pad = F.when(F.col("lo") == F.col("hi"), F.lit(0.5)).otherwise(F.lit(0.0))
     edges = extent.select(F.struct((F.col("lo") - pad).alias("lo"), (F.col("hi") + pad).alias("hi")))

@@ -4,53 +4,90 @@ from __future__ import annotations
 
 import math
 import sys
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-BINS = 16384
+from tallyshelf.functions.names import named
 
+BINS, HELD = 10_000, 10_000
 
-def _bin(low: float, high: float, bins: int) -> Column:
-    """Bin of ``x`` within the bracket, never falling as ``x`` grows; infinities have their own."""
-    x = F.col("x")
-    low, high = max(low, -sys.float_info.max), min(high, sys.float_info.max)
-    scale = 1.0 if math.isfinite(high - low) else 0.5
-    if low < high:
-        share = (x * scale - low * scale) / (high * scale - low * scale)
-        inside = F.least(F.floor(share * bins), F.lit(bins - 1))
-    else:
-        inside = F.lit(0)
-    return F.when(x == -math.inf, F.lit(-1)).when(x == math.inf, F.lit(bins)).otherwise(inside)
 
-
-def exact_quantile(df: DataFrame, column: str, q: float, bins: int = BINS) -> float | None:
-    """The element at nearest rank ``ceil(q * n)``; NULL and NaN do not count.
+def exact_quantile(df: DataFrame, column: str, q: float, bins: int = BINS, held: int = HELD):
+    """The element at nearest rank ``ceil(q * n)``, in the column's type; NULL and NaN do not count.
 
     An exact quantile as one aggregate keeps every distinct value in one task.
-    This narrows a bracket instead: count the values in ``bins`` equal bins of
-    the bracket, go on inside the bin that holds the rank, and stop when one
-    value is left. A bin's own lowest and highest value form the next bracket,
-    so each pass shrinks it by about ``bins``, and even values that spread over
-    many magnitudes lose at least one end per pass. Every pass is one
-    aggregation with a map-side combine, and brings at most ``bins`` rows to the
-    driver. Like ``DataFrame.approxQuantile`` it runs at once.
+    This brackets the rank instead: a mergeable sketch of the values in the
+    bracket gives two of them close to the rank on either side, and counting
+    below and at each tells which is the element, or which lie between. A sketch
+    of ``bins`` errs by a share of 1 / ``bins``, so each pass leaves a few
+    ``bins``-ths of the values, whatever they are: ten billion need three passes.
+    Up to ``held`` values are sorted on the driver at the end. Like
+    ``DataFrame.approxQuantile`` it runs at once.
     """
-    values = df.select(F.col(column).cast("double").alias("x")).filter("x IS NOT NULL AND NOT isnan(x)")
-    n, low, high = values.agg(F.count("x"), F.min("x"), F.max("x")).first()
-    rank = max(math.ceil(q * n), 1)
-    while n and low < high:
-        counts = (
-            values.filter(F.col("x").between(low, high))
-            .groupBy(_bin(low, high, bins).alias("bin"))
-            .agg(F.count("x").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
-            .collect()
-        )
-        for row in sorted(counts, key=lambda row: row["bin"]):
-            if rank <= row["n"]:
-                low, high = row["low"], row["high"]
-                break
-            rank -= row["n"]
+    if bins < 10 or held < 1:
+        raise ValueError("bins must be 10 or more, held 1 or more")
+    if not 0 <= q <= 1:
+        raise ValueError("q must lie between 0 and 1")
+    kind = df.schema[column].dataType
+    x = F.col("x")
+    values = df.select(named(column).alias("x")).filter("x IS NOT NULL")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        values = values.select(x.cast("double").alias("x")).filter("NOT isnan(x)")
+    total, low, high = values.agg(F.count("x"), F.min("x"), F.max("x")).first()
+    rank = max(math.ceil(q * total), 1)
+    inside, left, skipped = values, total, 0
+    while left > held and low < high:
+        wanted = (rank - skipped) / left
+        shares = [max(0.0, wanted - 2 / bins), min(1.0, wanted + 2 / bins)]
+        found = inside.agg(_sketch(x, low, high, shares, bins)).first()[0]
+        first, second = (min(max(v, low), high) for v in (_value(f, low, high) for f in found))
+        lo, hi = F.lit(first), F.lit(second)
+        at = values.agg(*[F.count_if(t) for t in (x < lo, x <= lo, x < hi, x <= hi)]).first()
+        if rank <= at[0]:
+            high, left = _next(first, kind, -1), at[0] - skipped
+        elif rank <= at[1]:
+            return first
+        elif rank <= at[2]:
+            low, high, left, skipped = _next(first, kind, 1), _next(second, kind, -1), at[2] - at[1], at[1]
+        elif rank <= at[3]:
+            return second
         else:
-            raise RuntimeError(f"values of {column} changed between passes")
-    return low
+            low, left, skipped = _next(second, kind, 1), left + skipped - at[3], at[3]
+        inside = values.filter(x.between(F.lit(low), F.lit(high)))
+    if left and low == high:
+        return low
+    rest = sorted(row[0] for row in inside.collect())
+    if len(rest) != left:
+        raise RuntimeError(f"values of {column} changed between passes")
+    return rest[rank - skipped - 1] if rest else None
+
+
+def _sketch(x: Column, low, high, shares: list[float], bins: int) -> Column:
+    """Values near the shares, of doubles.
+
+    Whole numbers and decimals count from the bracket's lower end: their distance
+    becomes exact as the bracket shrinks. Infinities count as the largest doubles.
+    """
+    if isinstance(low, float):
+        number = F.greatest(F.least(x, F.lit(sys.float_info.max)), F.lit(-sys.float_info.max))
+    else:
+        number = x.cast("double") - float(low) if high - low >= 2**62 else (x - F.lit(low)).cast("double")
+    return F.percentile_approx(number, shares, bins)
+
+
+def _value(found: float, low, high):
+    if isinstance(low, float):
+        return found
+    return low + type(low)(int(found))
+
+
+def _next(value, kind: T.DataType, step: int):
+    """The next value of the type, up or down."""
+    if isinstance(value, float):
+        return math.nextafter(value, step * math.inf)
+    if isinstance(kind, T.DecimalType):
+        return value + step * Decimal(1).scaleb(-kind.scale)
+    return value + step

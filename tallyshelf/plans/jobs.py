@@ -6,9 +6,12 @@ twice and a lost executor costs only the running stage.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyshelf.functions.bands import ACHIEVEMENT_BANDS, Bands
 from tallyshelf.operators.clean import clean
 from tallyshelf.operators.reshape import melt_votes
 from tallyshelf.plans import reports
@@ -90,22 +93,39 @@ def publish_job(
     return tables_in(spark, database)
 
 
-def export_job(items: DataFrame, tags: DataFrame, out: str) -> None:
+def export_job(
+    items: DataFrame,
+    tags: DataFrame,
+    out: str,
+    *,
+    first_year: int | None = None,
+    last_year: int | None = None,
+    rates: Mapping[str, str] = reports.PLATFORM_RATES,
+    shares: Mapping[str, str] = reports.KPI_SHARES,
+    min_ratings: int = 50,
+    min_items: int = 30,
+    achievement_bands: Bands = ACHIEVEMENT_BANDS,
+) -> None:
     """Write the nine report files and the KPI record.
 
-    The band reports go out in band order.
+    The band reports go out in band order. Without years the reports have their own ranges.
     """
+    years = {} if first_year is None or last_year is None else {"first": first_year, "last": last_year}
+    playtime = reports.genre_playtime(items, min_ratings=min_ratings, min_items=min_items)
+    achievements = reports.achievement_band_stats(
+        items, bands=achievement_bands, min_ratings=min_ratings, position="band"
+    )
     results = {
-        "q1_release": (reports.releases_by_year(items), ["release_year"]),
+        "q1_release": (reports.releases_by_year(items, **years), ["release_year"]),
         "q2_genre": (reports.genre_stats(items), ["-n", "genre"]),
         "q3_price": (reports.price_band_stats(items, position="band"), ["band"]),
-        "q4_playtime": (reports.genre_playtime(items), ["-avg_hours", "genre"]),
+        "q4_playtime": (playtime, ["-avg_hours", "genre"]),
         "q5_dev": (reports.top_developers(items), ["-n", "developer"]),
         "q5_pub": (reports.top_publishers(items), ["-pos", "publisher"]),
-        "q6_platform": (reports.platform_rate_by_year(items), ["release_year"]),
+        "q6_platform": (reports.platform_rate_by_year(items, **years, flags=rates), ["release_year"]),
         "q7_tags": (reports.top_tags(tags), ["-total_votes", "tag"]),
-        "q8_ach": (reports.achievement_band_stats(items, position="band"), ["band"]),
+        "q8_ach": (achievements, ["band"]),
     }
     for name, (result, order) in results.items():
         save_result(result, f"{out}/{name}", *order, drop=["band"])
-    save_record(reports.kpi_summary(items), f"{out}/{SUMMARY}")
+    save_record(reports.kpi_summary(items, shares), f"{out}/{SUMMARY}")

@@ -9,14 +9,14 @@ from pyspark.sql import SparkSession
 MB = 1 << 20
 
 
-def shuffle_width(input_bytes: int, partition_bytes: int = 256 * MB, most: int = 50_000) -> int:
-    """Shuffle partitions for a job that moves its whole input, between 200 and ``most``."""
-    return max(200, min(-(-input_bytes // partition_bytes), most))
+def shuffle_width(input_bytes: int, partition_bytes: int = 256 * MB) -> int:
+    """Shuffle partitions for a job that moves its whole input, 200 at least."""
+    return max(200, -(-input_bytes // partition_bytes))
 
 
 def get_spark(
     app_name: str = "tallyshelf",
-    cores: str | int | None = "*",
+    cores: str | int | None = None,
     *,
     input_bytes: int | None = None,
     hive: bool = False,
@@ -27,8 +27,9 @@ def get_spark(
 
     A running session keeps its settings; only ``conf`` is applied to it.
 
-    ``cores`` gives ``local[cores]`` and 16 shuffle partitions; ``None`` leaves
-    the master to ``spark-submit``, which is how a cluster run starts. AQE merges
+    ``cores`` gives ``local[cores]`` and 16 shuffle partitions; without it the
+    master and the width are those of ``spark-submit``, which is how a cluster run
+    starts. AQE merges
     small shuffle partitions but does not add any outside skewed joins and
     rebalanced writes, so a large job should state its ``input_bytes`` (or the
     width itself in ``conf``). A join whose shuffled partitions all turn out

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyshelf.sources.readers import NULL_MARK
+
 
 def write_table(df: DataFrame, path: str) -> None:
     """Flat Parquet, replacing what is there."""
@@ -30,6 +32,17 @@ def flatten_table(spark: SparkSession, source: str, target: str) -> None:
     write_table(spark.read.parquet(source), target)
 
 
+def write_csv(df: DataFrame, path: str, null: str = NULL_MARK) -> None:
+    """Headered CSV that reads back as it was: white space kept, NULL told from empty text.
+
+    A text that equals ``null`` would read back as NULL.
+    """
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    for side in ("Leading", "Trailing"):
+        writer = writer.option(f"ignore{side}WhiteSpace", False)
+    writer.option("nullValue", null).csv(path)
+
+
 def save_result(df: DataFrame, path: str, *order: str, drop: Sequence[str] = ()) -> None:
     """A small result as one headered CSV file in folder ``path``.
 
@@ -43,7 +56,7 @@ def save_result(df: DataFrame, path: str, *order: str, drop: Sequence[str] = ())
     if keys:
         single = single.sortWithinPartitions(*keys)
     single = single.drop(*drop)
-    single.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    write_csv(single, path)
 
 
 def save_record(df: DataFrame, path: str) -> None:

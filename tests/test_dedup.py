@@ -25,9 +25,15 @@ def test_order_columns_come_first(spark):
     assert result.collect() == [(1, "z", 2)]
 
 
-def test_null_keys_are_one_group_and_null_values_sort_first(spark):
-    df = spark.createDataFrame([(None, 1), (None, None), (2, 5)], "k int, v int")
-    assert sorted(first_per_key(df, ["k"]).collect(), key=repr) == [(2, 5), (None, None)]
+def test_null_keys_are_one_group_and_null_values_sort_last(spark):
+    df = spark.createDataFrame([(None, 1), (None, None), (2, None), (2, 5)], "k int, v int")
+    assert sorted(first_per_key(df, ["k"]).collect(), key=repr) == [(2, 5), (None, 1)]
+
+
+def test_the_fuller_row_survives(spark):
+    rows = [(1, None, None), (1, "Full", "2015"), (2, "a", None), (2, "a", "b"), (3, None, None)]
+    df = spark.createDataFrame(rows, "k int, name string, day string")
+    assert sorted(first_per_key(df, ["k"]).collect()) == [(1, "Full", "2015"), (2, "a", "b"), (3, None, None)]
 
 
 def test_key_only_rows(spark):

@@ -1,0 +1,40 @@
+"""The driver's module works with and without the optional operators."""
+
+import subprocess
+import sys
+from pathlib import Path
+
+ROOT = Path(__file__).resolve().parents[1]
+BLOCK = """
+import sys
+class Block:
+    def find_spec(self, name, path=None, target=None):
+        if name in ("corpus_pipeline", "tallyshelf.llm"):
+            raise ModuleNotFoundError(f"No module named {name!r}", name=name)
+sys.meta_path.insert(0, Block())
+"""
+
+
+def names(before=""):
+    code = before + "import __spark_entry__ as e; print('NAMES', *e.queries()); print('SQL', *e.oracle_sql())"
+    out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr
+    found = {line.split()[0]: set(line.split()[1:]) for line in out.stdout.splitlines() if line[:3] in ("NAM", "SQL")}
+    return found["NAMES"], found["SQL"]
+
+
+def test_import_without_the_optional_operators():
+    queries, oracles = names(BLOCK)
+    assert "genre_stats" in queries and oracles == queries
+    assert not [q for q in queries if q.startswith("op") or q == "pipeline"]
+
+
+def test_oracles_belong_to_queries():
+    queries, oracles = names()
+    assert oracles <= queries
+
+
+def test_another_missing_module_is_a_fault():
+    code = BLOCK.replace('("corpus_pipeline", "tallyshelf.llm")', '("registered.queries", "registered.oracles")')
+    out = subprocess.run([sys.executable, "-c", code + "import __spark_entry__"], cwd=ROOT, capture_output=True, text=True, timeout=120)
+    assert "ModuleNotFoundError" in out.stderr

@@ -37,3 +37,10 @@ def test_one_value(spark):
 def test_no_values_gives_empty_bins(spark):
     rows = histogram(spark, [None], 3)
     assert [(r["bin"], r["n"], r["bin_low"]) for r in rows] == [(0, 0, None), (1, 0, None), (2, 0, None)]
+
+
+def test_infinities_are_in_no_bin(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(v,) for v in (1.0, 2.0, inf, -inf, float("nan"), None)], "x double")
+    rows = equal_width_histogram(df, "x", 2).orderBy("bin").collect()
+    assert [(r.bin, r.bin_low, r.bin_high, r.n) for r in rows] == [(0, 1.0, 1.5, 1), (1, 1.5, 2.0, 1)]
