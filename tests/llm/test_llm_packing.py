@@ -1,4 +1,5 @@
 import zlib
+from functools import cache
 
 import numpy as np
 import pytest
@@ -14,10 +15,15 @@ def packed(spark, rows, schema="doc_id bigint, text string", **more):
     return pack_documents(spark.createDataFrame(rows, schema), "text", PATH, **more)
 
 
-def ids_of(text):
+@cache
+def tokenizer():
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids
+    return Tokenizer.from_file(PATH)
+
+
+def ids_of(text):
+    found = tokenizer().encode(text or "", add_special_tokens=False).ids
     return np.array([*found, 2], "<u4")
 
 
