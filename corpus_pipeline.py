@@ -7,11 +7,14 @@ but the last return the columns of documents, whatever they are called.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyshelf.functions.names import named
-from tallyshelf.llm.common import WORD, stored, text_or_empty
+from tallyshelf.llm.common import WORD, WRITTEN, discard, stored, text_or_empty
 from tallyshelf.llm.mixing import mix_sources
 from tallyshelf.llm.packing import pack_documents
 from tallyshelf.llm.pii import mask_pii
@@ -21,6 +24,30 @@ from tallyshelf.llm.simhash import near_duplicates
 from tallyshelf.sources.scratch import scratch_folder
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+#: Folders the latest stage has written for itself.
+_left: list[str] = []
+
+
+def _stage(work: Stage) -> Stage:
+    """The stage, which first deletes what the one before it wrote for itself.
+
+    A stage's result is written before the next stage begins, so nothing reads those
+    folders then; kept, each would hold the documents once more.
+    """
+
+    @wraps(work)
+    def begin(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        discard(spark, _left)
+        before = len(WRITTEN)
+        result = work(spark, docs, sf_dir)
+        _left[:] = WRITTEN[before:]
+        return result
+
+    return begin
+
+
 def _whole(docs: DataFrame, *columns: str) -> DataFrame:
     """All columns as one struct ``doc``, beside copies of some: no name of a stage can clash."""
     return docs.select(F.struct(*map(named, docs.columns)).alias("doc"), *map(named, columns))
@@ -31,12 +58,14 @@ def _numbered(docs: DataFrame, *columns: str) -> DataFrame:
     return stored(_whole(docs, *columns).withColumn("row", F.monotonically_increasing_id()), "numbered")
 
 
+@_stage
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and are no outliers of their language and source."""
     judged = quality_verdicts(_whole(docs, "text", "lang", "source"), "text", "lang", "source", ["doc"])
     return judged.filter("kept").select("doc.*")
 
 
+@_stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first row of each near-duplicate group, in the order the rows are stored."""
     numbered = _numbered(docs, "text")
@@ -45,6 +74,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return numbered.join(first, "row", "left_semi").select("doc.*")
 
 
+@_stage
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, spans of personal data replaced by their kind; ``n_chars`` follows the text."""
     masked = mask_pii(_whole(docs, "text"), "text")
@@ -53,6 +83,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return masked.select(*[new.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])
 
 
+@_stage
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, to the nearest whole time.
 
@@ -68,6 +99,7 @@ def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return repeated.withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times")))).select("doc.*")
 
 
+@_stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents and their places in sequences of 4096 tokens."""
     import public_tokenizers
@@ -89,9 +121,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each over the written rows of the one before."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES:
         path = scratch_folder(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        discard(spark, before)
+        docs, before = spark.read.parquet(path), [path]
     return docs

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -20,17 +20,31 @@ def text_or_empty(column: str) -> Column:
     return F.coalesce(named(column).cast("string"), F.lit(""))
 
 
+#: Folders that ``stored`` has written in this process, in order.
+WRITTEN: list[str] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows written to the shared scratch folder and read back.
 
     Cuts the lineage: later stages, and reruns after a lost executor, read the
-    same rows in files that all executors reach.
+    same rows in files that all executors reach. The files stay until the caller
+    discards them, as lazy results may still read them.
     """
     path = scratch_folder(df.sparkSession, name)
     df.write.parquet(path)
+    WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, folders: Sequence[str]) -> None:
+    """Delete folders that no result reads any more."""
+    context = spark.sparkContext
+    for folder in folders:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def salt_of(columns: Sequence[Column], salts: int) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
 
