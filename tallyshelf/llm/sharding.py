@@ -92,7 +92,7 @@ def assign_arcs(
 
 
 def shard_rows(
-    df: DataFrame, key: str, shards: int, *, vnodes: int = VNODES, salts: int = 8
+    df: DataFrame, key: str, shards: int, *, vnodes: int = VNODES, salts: int = 128
 ) -> DataFrame:
     """``df`` with ``shard`` (0 to ``shards`` - 1) and ``slot`` (gapless from 0 in each shard).
 
