@@ -15,64 +15,78 @@ from tallyshelf.llm.common import stored
 CANDIDATES, QUERIES = 2048, 2048
 #: Shares of a block's lists after which bounds are compared; before the first no one falls out.
 DEPTHS = (0.75, 0.85, 0.95, 1.0)
+#: Queries bounded at once.
+BATCH = 256
 #: So many candidates are left for their scores to be resolved, per row wanted.
 RESOLVED = 10
 
 
 class SortedLists:
-    """One list per dimension of a block's candidates, by value, largest first."""
+    """One list per dimension of a block's candidates, by value, largest first.
+
+    What a reader of the lists down to some depth has seen of a candidate follows
+    from its places in them, so many queries are bounded at once by matrix products.
+    """
 
     def __init__(self, vectors: np.ndarray):
         self.vectors = vectors
-        self.order = np.argsort(-vectors, axis=0, kind="stable").T.copy()
-        self.values = np.take_along_axis(vectors, self.order.T, axis=0).T.astype(np.float64)
-
-    def survivors(self, query: np.ndarray, wanted: int, skip: int | None = None) -> np.ndarray:
-        """Candidates that may be among the ``wanted`` best, by sorted access alone.
-
-        A list of a dimension is read from its best end, which the query's sign
-        decides. What a candidate's read entries add up to, and the worst and the
-        current entries of its unread lists, bound its score from both sides. Those
-        whose upper bound is under the ``wanted``-th best lower bound cannot qualify,
-        and reading stops when few are left, whose scores are then resolved. Equal
-        bounds stay, for ties.
+        order = np.argsort(-vectors, axis=0, kind="stable")
+        self.values = np.take_along_axis(vectors, order, axis=0).astype(np.float64)
+        self.place = np.empty_like(order)
+        np.put_along_axis(self.place, order, np.arange(len(vectors))[:, None], axis=0)
+
+    def bounds(self, queries: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper bounds of all candidates' scores after ``depth`` entries of each list.
+
+        A query reads a list from its best end: the top for a positive weight, the
+        bottom for a negative one. An entry not yet read is worth no more than the
+        last one read and no less than the list's other end.
         """
         size = len(self.vectors)
-        up, down = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
-        used = np.r_[up, down]
-        weight = query[used].astype(np.float64)
-        if size <= RESOLVED * wanted or not len(used):
-            return np.arange(size)
-        worst = weight * np.r_[self.values[up, -1], self.values[down, 0]]
-        slack = 1e-9 * float(np.abs(weight) @ np.abs(self.values[used]).max(axis=1))
-        read, unread = np.zeros(size), np.ones((size, len(used)))
-        alive = np.ones(size, bool)
-        if skip is not None:
-            alive[skip] = False
-        edges = [0, *(int(size * share) for share in DEPTHS)]
-        for first, end in zip(edges, edges[1:], strict=False):
-            ids = np.concatenate([self.order[up, first:end], self.order[down, size - end : size - first]])
-            entries = np.concatenate([self.values[up, first:end], self.values[down, size - end : size - first]])
-            read += np.bincount(ids.ravel(), (entries * weight[:, None]).ravel(), size)
-            unread[ids, np.arange(len(used))[:, None]] = 0.0
-            if end == size:
+        weights = np.concatenate([np.maximum(queries, 0), np.minimum(queries, 0)], axis=1).T.astype(np.float64)
+        read = np.concatenate([self.place < depth, self.place >= size - depth], axis=1)
+        entries = np.where(read, np.tile(self.vectors, 2), 0.0)
+        worst = np.r_[self.values[-1], self.values[0]]
+        last = np.r_[self.values[depth - 1], self.values[size - depth]]
+        known, unread = entries @ weights, (~read).astype(np.float64)
+        return known + unread @ (worst[:, None] * weights), known + unread @ (last[:, None] * weights)
+
+    def survivors(self, queries: np.ndarray, wanted: int, own: np.ndarray | None = None) -> list[np.ndarray]:
+        """Per query the candidates that may be among the ``wanted`` best, by sorted access alone.
+
+        Those whose upper bound is under the ``wanted``-th best lower bound cannot
+        qualify. A query stops reading when few are left, whose scores are then
+        resolved. Equal bounds stay, for ties. ``own`` has the place of each query
+        among the candidates, or -1; it is no candidate of itself.
+        """
+        size = len(self.vectors)
+        own = np.full(len(queries), -1) if own is None else own
+        out = [np.delete(np.arange(size), own[i : i + 1][own[i : i + 1] >= 0]) for i in range(len(queries))]
+        if size <= RESOLVED * wanted:
+            return out
+        slack = 1e-9 * (np.abs(queries) @ np.abs(self.vectors).max(axis=0))
+        left = np.arange(len(queries))
+        for depth in (max(1, int(size * share)) for share in DEPTHS):
+            if not len(left):
                 break
-            frontier = weight * np.r_[self.values[up, end - 1], self.values[down, size - end]]
-            lower, upper = read + (unread @ np.stack([worst, frontier], axis=1)).T
-            alive &= upper >= np.partition(lower[alive], -wanted)[-wanted] - slack
-            if alive.sum() <= RESOLVED * wanted:
-                return np.flatnonzero(alive)
-        alive &= read >= np.partition(read[alive], -wanted)[-wanted] - slack
-        return np.flatnonzero(alive)
-
-    def top(self, query: np.ndarray, ids: np.ndarray, wanted: int, skip: int | None = None):
-        """``(places, scores)`` of the best candidates, ties to the smaller id."""
-        left = self.survivors(query, wanted, skip)
-        if skip is not None:
-            left = left[left != skip]
-        scores = self.vectors[left] @ query
-        best = np.lexsort((ids[left], -scores))[:wanted]
-        return left[best], scores[best]
+            lower, upper = self.bounds(queries[left], depth)
+            at = np.flatnonzero(own[left] >= 0)
+            lower[own[left[at]], at] = upper[own[left[at]], at] = -np.inf
+            best = np.partition(lower, size - wanted, axis=0)[size - wanted]
+            alive = upper >= best - slack[left]
+            alive[own[left[at]], at] = False
+            few = (alive.sum(axis=0) <= RESOLVED * wanted) | (depth == size)
+            for column in np.flatnonzero(few):
+                out[left[column]] = np.flatnonzero(alive[:, column])
+            left = left[~few]
+        return out
+
+    def top(self, queries: np.ndarray, ids: np.ndarray, wanted: int, own: np.ndarray | None = None):
+        """Per query ``(places, scores)`` of the best candidates, ties to the smaller id."""
+        for query, left in zip(queries, self.survivors(queries, wanted, own), strict=True):
+            scores = self.vectors[left] @ query
+            best = np.lexsort((ids[left], -scores))[:wanted]
+            yield left[best], scores[best]
 
 
 def quantised(df: DataFrame, key: str, vector: str, scale: float) -> DataFrame:
@@ -99,7 +113,7 @@ def top_k(
     scores are inner products of the components' whole multiples of 1 / ``scale``,
     ties go to the smaller key. Candidates and queries are dealt into blocks of
     bounded size, each pair of blocks is one group: it sorts its lists once and
-    reads them per query, without random access, until outsiders cannot qualify.
+    reads them for its queries, without random access, until outsiders cannot qualify.
     The groups' best rows are then ranked per query.
 
     Vectors that are NULL or hold NULL or non-finite components, and rows with a
@@ -141,12 +155,15 @@ def top_k(
             return out
 
         lists, ids, places = SortedLists(matrix(held)), held["id"].to_numpy(), held["_row"].to_numpy()
+        numbers, names, wanted = asked["_row"].to_numpy(), asked["id"].to_numpy(), matrix(asked)
+        at = np.minimum(np.searchsorted(places, numbers), len(places) - 1)
+        own = np.where(places[at] == numbers, at, -1)
         parts = []
-        for number, name, query in zip(asked["_row"], asked["id"], matrix(asked), strict=True):
-            at = int(np.searchsorted(places, number))
-            own = at if at < len(places) and places[at] == number else None
-            best, scores = lists.top(query, ids, k, own)
-            parts.append(np.stack([np.full(len(best), number), np.full(len(best), name), ids[best], scores]))
+        for first in range(0, len(asked), BATCH):
+            part = slice(first, first + BATCH)
+            best = lists.top(wanted[part], ids, k, own[part])
+            for number, name, (place, scores) in zip(numbers[part], names[part], best, strict=True):
+                parts.append(np.stack([np.full(len(place), number), np.full(len(place), name), ids[place], scores]))
         return pd.DataFrame(np.concatenate(parts, axis=1).T, columns=columns)
 
     found = candidates.unionByName(queries).groupBy("block", "ask").applyInPandas(
