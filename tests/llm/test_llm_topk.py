@@ -61,18 +61,31 @@ def test_survivors_hold_the_best_and_are_few():
     rng = np.random.default_rng(5)
     block = np.floor(rng.normal(size=(2000, 16)) * 40).astype(np.int64)
     lists, ids = SortedLists(block), np.arange(2000)
-    for query in np.floor(rng.normal(size=(40, 16)) * 40).astype(np.int64):
-        left = lists.survivors(query, 5)
-        scores = block @ query
-        best = np.lexsort((ids, -scores))[:5]
-        assert set(best) <= set(left)
+    queries = np.floor(rng.normal(size=(40, 16)) * 40).astype(np.int64)
+    own = np.array([*range(20), *[-1] * 20])
+    found = zip(queries, own, lists.survivors(queries, 5, own), lists.top(queries, ids, 5, own), strict=True)
+    for query, skip, left, (places, scores) in found:
+        exact = block @ query
+        best = [i for i in np.lexsort((ids, -exact)) if i != skip][:5]
+        assert set(best) <= set(left) and skip not in left
         assert len(left) <= 50
-        assert (lists.top(query, ids, 5)[0] == best).all()
+        assert places.tolist() == best and scores.tolist() == exact[best].tolist()
+
+
+def test_bounds_hold_at_every_depth():
+    rng = np.random.default_rng(6)
+    block = rng.integers(-9, 9, (50, 4))
+    lists, queries = SortedLists(block), rng.integers(-9, 9, (10, 4))
+    exact = block @ queries.T
+    for depth in range(1, 51):
+        lower, upper = lists.bounds(queries, depth)
+        assert (lower <= exact).all() and (exact <= upper).all()
+    assert (lower == exact).all() and (upper == exact).all()
 
 
 def test_query_of_zeros_and_negative_weights():
     block = np.array([[1, -2], [3, 4], [0, 0], [-5, 6]] * 30)
     lists, ids = SortedLists(block), np.arange(120)
-    for query in ([0, 0], [-1, 0], [0, -3], [2, 2]):
-        scores = block @ np.array(query)
-        assert (lists.top(np.array(query), ids, 3)[0] == np.lexsort((ids, -scores))[:3]).all()
+    queries = np.array([[0, 0], [-1, 0], [0, -3], [2, 2]])
+    for query, (places, _) in zip(queries, lists.top(queries, ids, 3), strict=True):
+        assert (places == np.lexsort((ids, -(block @ query)))[:3]).all()
