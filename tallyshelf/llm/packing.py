@@ -5,6 +5,7 @@ from __future__ import annotations
 import heapq
 import os
 import re
+import struct
 import zlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
@@ -32,6 +33,10 @@ RANK_BITS = 48
 Pattern = tuple[tuple[int, int], ...]
 
 
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordTokens:
     """Token ids of a text as little-endian unsigned 32-bit bytes.
 
@@ -43,15 +48,23 @@ class WordTokens:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.words: dict[str, bytes] = {"": b""}
         self.parts: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(one.ids, dtype="<u4").tobytes() for one in found]
+        return [packed(one.ids) for one in found]
+
+    def encode_part(self, part: str) -> bytes:
+        """A part is what the model's merges apply to; only its bytes are written as characters."""
+        if not part.isascii():
+            part = self.byte_level.pre_tokenize_str(part)[0][0]
+        return packed([token.id for token in self.model.tokenize(part)])
 
     def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
         cut, parts = {}, self.parts
@@ -62,7 +75,7 @@ class WordTokens:
         if len(parts) + len(new) > REMEMBERED:
             parts.clear()
             new = list({part for found in cut.values() if found for part in found})
-        parts.update(zip(new, self.encode(new), strict=True))
+        parts.update((part, self.encode_part(part)) for part in new)
         whole = [word for word, found in cut.items() if found is None]
         ids = dict(zip(whole, self.encode(whole), strict=True))
         ids.update((w, b"".join([parts[p] for p in found])) for w, found in cut.items() if found is not None)
