@@ -17,18 +17,22 @@ WINDOW_WORDS, LEAST_WORDS, MOST_REPEATED_PERCENT = 5, 10, 20
 #: the whole of a normal distribution (share / chi2_7(q), q the share's quantile of chi2_5), and
 #: the 1 - 10^-6 quantile of chi2_5.
 SHARE, CONSISTENCY, CUTOFF = 0.75, 1.413, 35.89
-STEPS = 4
-#: Groups with fewer documents take the estimate over all documents.
-LEAST_GROUP = 50
+STEPS, REWEIGHTED = 4, 2
+#: A group of so many documents is mixed half and half with its language, and a language with the
+#: pool; the odds of a group's own estimate grow with the square of its documents.
+PRIOR = 20.0
 #: Words of the average kind that every text's ratios are mixed with: short texts vary more.
 PSEUDO_WORDS, PSEUDO_LENGTH = 50.0, 5.5
 STATISTICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals"]
 VERDICT = ["base_failed", "distance", "kept"]
-#: The vector, and per component the least standard deviation that counts.
-FLOORS = {"v_length": 0.05, "v_symbols": 0.1, "v_repeats": 0.1, "v_lines": 0.1, "v_capitals": 0.05}
-VECTOR = list(FLOORS)
+VECTOR = ["v_length", "v_symbols", "v_repeats", "v_lines", "v_capitals"]
+#: The least standard deviation of a component, far below that of ordinary groups: it only keeps
+#: the covariance of a constant component invertible.
+GUARD = 0.002
 PAIRS = list(combinations_with_replacement(range(len(VECTOR)), 2))
 POOLED = "*"
+CENTRE = [f"c_{i}" for i in range(len(VECTOR))]
+COVARIANCE = [f"v_{i}_{j}" for i, j in PAIRS]
 BINS_PER_OCTAVE, BIN_RANGE = 16, 1024
 
 
@@ -95,6 +99,23 @@ def vector() -> dict[str, Column]:
     }
 
 
+def chance() -> dict[str, Column]:
+    """What chance moves each component in a text of so many words, as a standard deviation.
+
+    Half an event, in a text without any: one symbol, one duplicate line, one repeated
+    window (ten words), one acronym (five capitals); for the mean length, half the deviation
+    that words of a relative spread of one half give it.
+    """
+    words = F.col("n_words") + PSEUDO_WORDS
+    return {
+        "v_length": 0.25 * F.sqrt(F.col("n_words")) / words,
+        "v_symbols": F.log1p(20 * 0.5 / words),
+        "v_repeats": 0.25 * F.sqrt(10 / words),
+        "v_lines": 0.25 * F.sqrt(1 / words),
+        "v_capitals": F.log1p(2.5 / words),
+    }
+
+
 def base_failed() -> Column:
     few = F.col("n_words") < LEAST_WORDS
     return few | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
@@ -111,7 +132,7 @@ def _cholesky(cov: dict[tuple[int, int], Column]) -> Iterator[tuple[str, Column]
 
 
 def _with_shape(moments: DataFrame, scale: float) -> DataFrame:
-    """``group, n, c_i, l_i_j``: centre and Cholesky factor from sums ``n, s_i, p_i_j``."""
+    """``group, n, c_i, v_i_j, l_i_j``: centre, covariance and its factor from sums ``n, s_i, p_i_j``."""
     centred = moments.select(
         "group",
         "n",
@@ -122,21 +143,29 @@ def _with_shape(moments: DataFrame, scale: float) -> DataFrame:
     for i, j in PAIRS:
         cov[i, j] = scale * (F.col(f"p_{i}_{j}") / F.col("n") - F.col(f"c_{i}") * F.col(f"c_{j}"))
         if i == j:
-            # A variance under the floor is lifted to it: nearly constant groups stay invertible.
-            cov[i, j] = F.greatest(cov[i, j], F.lit(FLOORS[VECTOR[i]] ** 2)) + 1e-9
-    shaped = centred.select("*", *[c.alias(f"v_{i}_{j}") for (i, j), c in cov.items()])
-    lifted = {p: F.col(f"v_{p[0]}_{p[1]}") for p in PAIRS}
-    for name, column in _cholesky(lifted):
+            cov[i, j] = F.greatest(cov[i, j], F.lit(GUARD**2)) + 1e-9
+    return _factored(centred.select("*", *[c.alias(f"v_{i}_{j}") for (i, j), c in cov.items()]))
+
+
+def _factored(shaped: DataFrame) -> DataFrame:
+    for name, column in _cholesky({p: F.col(f"v_{p[0]}_{p[1]}") for p in PAIRS}):
         shaped = shaped.withColumn(name, column)
     factors = [f"l_{i}_{j}" for j in range(len(VECTOR)) for i in range(j, len(VECTOR))]
-    return shaped.select("group", "n", *[f"c_{i}" for i in range(len(VECTOR))], *factors)
+    return shaped.select("group", "n", *CENTRE, *COVARIANCE, *factors)
 
 
-def distance() -> Column:
-    """Squared Mahalanobis distance, by forward substitution in the joined Cholesky factor."""
+def distance(noise: dict[str, Column] | None = None) -> Column:
+    """Squared Mahalanobis distance, by forward substitution in the joined Cholesky factor.
+
+    With ``noise``, each variance is the joined one and the row's own noise, under the
+    joined correlations.
+    """
     parts: list[Column] = []
     for i, name in enumerate(VECTOR):
         rest = F.col(name) - F.col(f"c_{i}")
+        if noise:
+            own = F.col(f"v_{i}_{i}")
+            rest = rest * F.sqrt(own / (own + noise[name] * noise[name]))
         for k, part in enumerate(parts):
             rest = rest - F.col(f"l_{i}_{k}") * part
         parts.append(rest / F.col(f"l_{i}_{i}"))
@@ -160,7 +189,7 @@ def _nearest(rows: DataFrame, shapes: DataFrame) -> DataFrame:
     """
     far = distance()
     octave = F.floor(F.log2(F.greatest(far, F.lit(1e-9))) * BINS_PER_OCTAVE)
-    binned = rows.join(shapes.drop("n"), "group").withColumn(
+    binned = rows.join(shapes.drop("n", *COVARIANCE), "group").withColumn(
         "bin", F.least(octave, F.lit(BIN_RANGE)).cast("int")
     )
     sums = _moments(binned, "group", "bin")
@@ -173,15 +202,16 @@ def _nearest(rows: DataFrame, shapes: DataFrame) -> DataFrame:
     return inside.groupBy("group").agg(*[F.sum(c).alias(c) for c in ["n", *names]])
 
 
-def robust_shapes(rows: DataFrame, steps: int = STEPS) -> DataFrame:
-    """``group, c_i, l_i_j``: the minimum-covariance-determinant estimate of each group.
+def robust_shapes(rows: DataFrame, steps: int = STEPS, also: Sequence[str] = ()) -> DataFrame:
+    """``group, n, c_i, v_i_j, l_i_j``: the minimum-covariance-determinant estimate of each group.
 
     ``rows`` has ``group`` and the vector. Starts from each component's median and
     spread, then takes ``steps`` concentration steps: distances, the nearest three
     quarters, their mean and covariance. Every step is one pass that sums per
-    group and bin before it shuffles. Group ``*`` is the estimate over all rows.
+    group and bin before it shuffles. Group ``*`` is the estimate over all rows;
+    the columns ``also`` name further groups that a row belongs to.
     """
-    every = rows.withColumn("group", F.explode(F.array("group", F.lit(POOLED))))
+    every = rows.select(F.explode(F.array("group", *also, F.lit(POOLED))).alias("group"), *VECTOR)
     middles = [F.percentile_approx(v, 0.5, 1000).alias(f"c_{i}") for i, v in enumerate(VECTOR)]
     start = stored(every.groupBy("group").agg(F.count("*").alias("n"), *middles), "medians")
     off = [F.abs(F.col(v) - F.col(f"c_{i}")).alias(f"d_{i}") for i, v in enumerate(VECTOR)]
@@ -204,6 +234,49 @@ def group_of(language: str, source: str) -> Column:
     return F.to_json(F.struct(named(language).alias("l"), named(source).alias("s")))
 
 
+def language_of(language: str) -> Column:
+    """The name of a language's own group: no group of a language and a source is called so."""
+    return F.concat(F.lit("l"), F.to_json(F.struct(named(language).alias("l"))))
+
+
+def _mixed(own: DataFrame, above: DataFrame) -> DataFrame:
+    """``own`` shapes of ``n`` documents, each mixed with its ``parent``'s shape.
+
+    Centre and covariance are those of the mixture, so the gap between the two centres widens it.
+    """
+    odds = F.pow(F.col("n") / PRIOR, 2)
+    share = odds / (odds + 1)
+    lifted = above.select(F.col("group").alias("parent"), *[F.col(c).alias(f"a{c}") for c in [*CENTRE, *COVARIANCE]])
+    gap = [F.col(c) - F.col(f"a{c}") for c in CENTRE]
+    centre = [(share * F.col(c) + (1 - share) * F.col(f"a{c}")).alias(c) for c in CENTRE]
+    cov = [
+        (share * F.col(c) + (1 - share) * F.col(f"a{c}") + share * (1 - share) * gap[i] * gap[j]).alias(c)
+        for c, (i, j) in zip(COVARIANCE, PAIRS, strict=True)
+    ]
+    return stored(_factored(own.join(lifted, "parent").select("group", "n", *centre, *cov)), "mixed")
+
+
+def group_shapes(sound: DataFrame) -> DataFrame:
+    """``group, c_i, v_i_j, l_i_j``: each group's estimate mixed with its language's, and that with the pool's.
+
+    ``sound`` has ``group, language, n_words`` and the vector. The estimates by the inner
+    three quarters are taken again over all documents that they do not reject: counts that
+    are mostly 0 have their spread outside the inner part. The weight of a group's own
+    estimate grows steadily with its documents.
+    """
+    shapes = robust_shapes(sound, also=["language"])
+    every = sound.withColumn("group", F.explode(F.array("group", "language", F.lit(POOLED))))
+    for _ in range(REWEIGHTED):
+        within = every.join(shapes.drop("n"), "group").filter(distance(chance()) <= CUTOFF)
+        shapes = stored(_with_shape(_moments(within, "group"), 1.0), "reweighted")
+    shapes = shapes.select("group", *CENTRE, *COVARIANCE)
+    sizes = stored(sound.groupBy("group", "language").agg(F.count("*").alias("n")), "sizes")
+    languages = sizes.groupBy(F.col("language").alias("group")).agg(F.sum("n").alias("n"))
+    pool = shapes.filter(F.col("group") == POOLED)
+    languages = _mixed(languages.withColumn("parent", F.lit(POOLED)).join(shapes, "group"), pool)
+    return _mixed(sizes.withColumnRenamed("language", "parent").join(shapes, "group"), languages).drop("n")
+
+
 def quality_verdicts(
     df: DataFrame, text: str, language: str, source: str, keep: Sequence[str] | None = None
 ) -> DataFrame:
@@ -213,9 +286,10 @@ def quality_verdicts(
     fifth of its words in repeated 5-word windows) or its vector of transformed
     statistics is an outlier: its squared Mahalanobis distance under the
     minimum-covariance-determinant estimate of its language and source exceeds
-    the 1 - 10^-6 quantile. Groups under 50 documents are judged by the estimate
-    over all documents. Documents that fail the base rules do not take part in
-    the estimates.
+    the 1 - 10^-6 quantile. Each group's estimate is mixed with its language's, and
+    that with the pool's, the less the more documents it has (half at 20), and every
+    text's variances are widened by what chance moves in so many words. Documents that fail the base rules do not
+    take part in the estimates.
 
     The texts are read once: the kept columns are written beside the statistics,
     and all estimates read those. NULL languages and sources form groups of their
@@ -227,25 +301,19 @@ def quality_verdicts(
         F.struct(*map(named, own)).alias("own"),
         named(text).alias("text"),
         group_of(language, source).alias("group"),
+        language_of(language).alias("language"),
     )
     rows = text_statistics(body, "text").drop("text").withColumn("base_failed", base_failed())
     rows = stored(rows.select("*", *[column.alias(name) for name, column in vector().items()]), "statistics")
-    sound = rows.filter("NOT base_failed").select("group", *VECTOR)
-    judged = _judged(rows, robust_shapes(sound), sound)
+    sound = rows.filter("NOT base_failed").select("group", "language", "n_words", *VECTOR)
+    judged = _judged(rows, group_shapes(sound))
     return judged.select(*[F.col("own")[c].alias(c) for c in own], *STATISTICS, *VERDICT)
 
 
-def _judged(rows: DataFrame, shapes: DataFrame, sound: DataFrame) -> DataFrame:
-    """``rows`` with ``distance`` and ``kept``, by the shape of the group or else the pooled one."""
-    sizes = sound.groupBy("group").agg(F.count("*").alias("members"))
-    large = sizes.filter(F.col("members") >= LEAST_GROUP).select("group")
-    fit = stored(shapes.drop("n").join(large, "group", "left_semi"), "fitted")
-    names = [c for c in shapes.columns if c not in ("group", "n")]
-    pooled = shapes.filter(F.col("group") == POOLED).select(*[F.col(c).alias(f"pooled_{c}") for c in names])
-    # One row, or none when no document passed the base rules.
-    joined = rows.join(fit, "group", "left").join(F.broadcast(pooled), F.lit(True), "left")
-    own = [c for c in rows.columns if c != "group"]
-    fitted = joined.select(*own, *[F.coalesce(n, f"pooled_{n}").alias(n) for n in names])
-    judged = fitted.withColumn("distance", F.when(~F.col("base_failed"), distance()))
+def _judged(rows: DataFrame, shapes: DataFrame) -> DataFrame:
+    """``rows`` with ``distance`` and ``kept``, by the shape of the group."""
+    # A group without a shape has no document that passed the base rules.
+    joined = rows.join(shapes, "group", "left")
+    judged = joined.withColumn("distance", F.when(~F.col("base_failed"), distance(chance())))
     near = F.coalesce("distance", F.lit(0.0)) <= CUTOFF
     return judged.withColumn("kept", ~F.col("base_failed") & near)

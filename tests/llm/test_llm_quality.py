@@ -128,3 +128,21 @@ def test_shapes_are_those_of_the_inner_three_quarters(spark):
     # Three quarters of all rows are more than that of the clean ones: the spread comes out a little wide.
     ratio = np.linalg.det(lower @ lower.T) / np.linalg.det(np.cov(clean.T))
     assert 0.9 < ratio ** (1 / 10) < 1.1
+
+
+def test_groups_of_different_spread_judge_the_same_text_differently(spark):
+    """Where all lines have many symbols a text with two in 100 words is ordinary; where none has any it is not."""
+    rng = random.Random(7)
+
+    def marked(n, symbols):
+        words = prose(rng, n).split()
+        for at in rng.sample(range(n), symbols):
+            words[at] = "#"
+        return " ".join(words)
+
+    rows = [(i, marked(400, 0), "en", "plain") for i in range(300)]
+    rows += [(1000 + i, marked(400, rng.randint(0, 40)), "en", "wide") for i in range(300)]
+    rows += [(2000, marked(400, 12), "en", "plain"), (2001, marked(400, 12), "en", "wide")]
+    out = {r.doc_id: r for r in quality_verdicts(spark.createDataFrame(rows, SCHEMA), "text", "lang", "source").collect()}
+    assert (out[2000].kept, out[2001].kept) == (False, True)
+    assert all(r.kept for i, r in out.items() if i != 2000)
