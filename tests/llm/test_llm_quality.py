@@ -146,3 +146,14 @@ def test_groups_of_different_spread_judge_the_same_text_differently(spark):
     out = {r.doc_id: r for r in quality_verdicts(spark.createDataFrame(rows, SCHEMA), "text", "lang", "source").collect()}
     assert (out[2000].kept, out[2001].kept) == (False, True)
     assert all(r.kept for i, r in out.items() if i != 2000)
+
+
+def test_small_groups_keep_their_own_centre(spark):
+    """Unspaced words are far from the pool; the documents of a small language stay, as more of them come."""
+    rng = random.Random(8)
+    rows = [(i, prose(rng, rng.randint(60, 200)), "en", f"s{i % 2}") for i in range(400)]
+    unspaced = [" ".join("".join(rng.choices("日本語文字", k=30)) for _ in range(30)) for _ in range(60)]
+    for size in (5, 50):
+        more = [(1000 + i, text, "ja", "s0") for i, text in enumerate(unspaced[:size])]
+        out = quality_verdicts(spark.createDataFrame(rows + more, SCHEMA), "text", "lang", "source")
+        assert out.filter("NOT kept").count() == 0, size
