@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -168,29 +169,40 @@ def with_candidates(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
     return body.withColumn("candidates", shaped).drop("_runs", "_base")
 
 
+def trusted() -> Column:
+    """Whether a pattern's runs are taken for identifiers."""
+    return (F.col("confidence") >= CONFIDENT) & (F.col("support") + F.col("reached") >= SUPPORT)
+
+
 def pattern_scores(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """``(pattern, confidence, support)`` from a graph of ``(pattern, run, seed)`` edges.
+    """``(pattern, confidence, support, reached)`` from a graph of ``(pattern, run, seed)`` edges.
 
     Seeds score 1. In each round a pattern's confidence is the sum of its runs'
     scores over their number and one more, and a run's score is the chance that
     not all its patterns err, counting those of confidence one half and over.
-    ``support`` counts a pattern's seeds.
+    ``support`` counts a pattern's seeds, ``reached`` its other runs that a pattern
+    trusted in an earlier round has. After ``rounds`` rounds it goes on until a
+    round trusts no further pattern; scores only rise, so each round adds some.
     """
-    scored = edges.withColumn("score", F.col("seed").cast("double"))
-    confident = None
-    for left in reversed(range(rounds)):
+    scored = edges.withColumn("score", F.col("seed").cast("double")).withColumn("reached", F.lit(False))
+    before = None
+    for done in count(1):
         confident = scored.groupBy("pattern").agg(
             (F.sum("score") / (F.count("*") + 1)).alias("confidence"),
             F.sum(F.col("seed").cast("bigint")).alias("support"),
+            F.sum((F.col("reached") & ~F.col("seed")).cast("bigint")).alias("reached"),
         )
-        if left:
-            near = edges.join(confident, "pattern")
-            err = F.when(F.col("confidence") >= 0.5, F.log(1 - F.col("confidence"))).otherwise(0.0)
-            runs = near.groupBy("run").agg((1 - F.exp(F.sum(err))).alias("score"))
-            both = edges.join(runs, "run")
-            own = F.when(F.col("seed"), 1.0).otherwise(F.col("score"))
-            scored = stored(both.select("pattern", "run", "seed", own.alias("score")), "scores")
-    return confident
+        confident = stored(confident, "confidence")
+        now = confident.filter(trusted()).count()
+        if done >= rounds and now == before:
+            return confident
+        before = now
+        near = edges.join(confident.withColumn("sure", trusted()).drop("support", "reached"), "pattern")
+        err = F.when(F.col("confidence") >= 0.5, F.log(1 - F.col("confidence"))).otherwise(0.0)
+        runs = near.groupBy("run").agg((1 - F.exp(F.sum(err))).alias("score"), F.max("sure").alias("reached"))
+        both = edges.join(runs, "run")
+        own = F.when(F.col("seed"), 1.0).otherwise(F.col("score"))
+        scored = stored(both.select("pattern", "run", "seed", own.alias("score"), "reached"), "scores")
 
 
 def find_pii(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -199,7 +211,8 @@ def find_pii(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame:
     All spans are arrays of ``(start, end, hit)``. Base spans and long hexadecimal
     secrets seed a graph of lexical patterns and identifier runs, whose scores Spark
     computes in rounds of joins and sums; the secrets, and runs beside a pattern of
-    high confidence and support that no base span meets, are found. The texts are read once; what is written is the
+    high confidence and support that no base span meets, are found. Found runs support
+    further patterns in the next round, until none is added. The texts are read once; what is written is the
     spans and the runs' contexts, and the graph is pre-summed.
 
     NULL texts are empty and have no spans. Rows are told apart by ``_row``, so
@@ -211,9 +224,9 @@ def find_pii(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame:
     linked = runs.withColumn("pattern", F.explode("patterns"))
     seed = F.max(F.col("base") | F.col("secret")).alias("seed")
     edges = stored(linked.groupBy("pattern", "run").agg(seed), "graph")
-    trusted = pattern_scores(edges).filter((F.col("confidence") >= CONFIDENT) & (F.col("support") >= SUPPORT))
+    sure = pattern_scores(edges).filter(trusted())
     span = ["_row", "start", "end", "run"]
-    unseen = linked.filter("NOT base AND NOT secret").join(trusted.select("pattern"), "pattern", "left_semi")
+    unseen = linked.filter("NOT base AND NOT secret").join(sure.select("pattern"), "pattern", "left_semi")
     added = unseen.select(*span).unionByName(runs.filter("NOT base AND secret").select(*span))
     span = F.struct("start", "end", F.col("run").alias("hit"))
     found = added.groupBy("_row").agg(F.sort_array(F.collect_set(span)).alias(FOUND))

@@ -120,3 +120,13 @@ def test_no_digit_of_a_span_is_left(spark):
     frame = spark.createDataFrame([(t,) for t in TEXTS[2:7]], "text string")
     masked = mask_pii(frame, "text").filter(F.col("text").rlike(r"[0-9]{1,3}(\.[0-9]{1,3}){3}"))
     assert all("256.1.1.1" in r.text for r in masked.collect())
+
+
+def test_found_identifiers_support_further_patterns(spark):
+    """Seeds to a pattern, to identifiers, to a second pattern without any seed, to a new identifier."""
+    seeds = [f"the customer account 10.0.{i}.7 closed" for i in range(40)]
+    first = [f"the customer account QX-77{i:02d}-55 closed" for i in range(20)]
+    second = [f"paid by member QX-77{i:02d}-55 today" for i in range(20)]
+    texts = [*seeds, *first, *second, "paid by member ZK-9041-18 today", "paid in version ZK-9041-19 today"]
+    out = find(spark, texts)
+    assert [[s.hit for s in out[i].id] for i in (40, 60, 80, 81)] == [["qx-7700-55"], ["qx-7700-55"], ["zk-9041-18"], []]
