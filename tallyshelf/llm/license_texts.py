@@ -64,6 +64,46 @@ NOTICES: dict[str, list[str]] = {
     ],
 }
 
+
+
+def _gnu(what: str, name: str, version: str) -> str:
+    return (
+        f"This {what} is free software: you can redistribute it and/or modify it under the terms of"
+        f" the GNU {name} as published by the Free Software Foundation, either"
+        f" version {version} of the License, or (at your option) any later version. This {what} is"
+        " distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the"
+        " implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU"
+        f" {name} for more details."
+    )
+
+
+#: Near relatives of the notices above, told apart by a word or two.
+for _label, _name, _version in (
+    ("gpl-2.0", "General Public License", "2"),
+    ("lgpl-2.1", "Lesser General Public License", "2.1"),
+    ("lgpl-3.0", "Lesser General Public License", "3"),
+    ("agpl-3.0", "Affero General Public License", "3"),
+):
+    NOTICES[_label] = [
+        f"This work is licensed under the GNU {_name}, version {_version}",
+        *[_gnu(what, _name, _version) for what in ("program", "library")],
+    ]
+for _code, _name in (
+    ("by-sa", "Attribution-ShareAlike"),
+    ("by-nd", "Attribution-NoDerivatives"),
+    ("by-nc-sa", "Attribution-NonCommercial-ShareAlike"),
+    ("by-nc-nd", "Attribution-NonCommercial-NoDerivatives"),
+):
+    NOTICES[f"cc-{_code}-4.0"] = [
+        f"Licensed under CC {_code.upper()} 4.0",
+        f"This work is licensed under a Creative Commons {_name} 4.0 International License.",
+    ]
+NOTICES["bsd-3-clause"] = [
+    NOTICES["bsd"][0] + " 3. Neither the name of the copyright holder nor the names of its"
+    " contributors may be used to endorse or promote products derived from this software without"
+    " specific prior written permission.",
+]
+
 #: Phrases that are looked for word by word, whatever surrounds them.
 PHRASES: dict[str, str] = {
     "cc by": "cc-by",

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator, Mapping, Sequence
+from difflib import SequenceMatcher
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +18,8 @@ from tallyshelf.llm.license_texts import NOTICES, PHRASES
 WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
 #: Least words of a match, most words skipped between two of a chain, least share of a notice.
 LEAST_MATCH, MOST_GAP, LEAST_SHARE = 3, 8, 0.75
+#: A notice's siblings have at least this share of its words in order.
+SIBLING = 0.6
 
 
 def words(text: bytes) -> list[bytes]:
@@ -93,6 +97,19 @@ class SuffixAutomaton:
             yield len(items), length, state
 
 
+def telling(text: Sequence[bytes], sibling: Sequence[bytes]) -> set[int]:
+    """Places k of a notice where words k - 1 and k must stand side by side to rule the sibling out.
+
+    These are around the words the sibling lacks, and where it has words between. Empty
+    for texts that are no siblings.
+    """
+    matcher = SequenceMatcher(None, text, sibling, autojunk=False)
+    if sum(m.size for m in matcher.get_matching_blocks()) < SIBLING * len(text):
+        return set()
+    edges = {k for tag, low, high, *_ in matcher.get_opcodes() if tag != "equal" for k in range(low, high + 1)}
+    return edges - {0, len(text)}
+
+
 class LicenceScanner:
     """Finds phrases and licence notices in lists of words."""
 
@@ -103,6 +120,10 @@ class LicenceScanner:
         self.number = {w: i for i, w in enumerate(sorted(known), 1)}
         self.labels = [label for label, _ in texts]
         self.sizes = [len(text) for _, text in texts]
+        self.telling = [
+            np.array(sorted(set().union(*[telling(text, t) for n, t in texts if n != label])), np.int64)
+            for label, text in texts
+        ]
         self.automaton = SuffixAutomaton([[self.number[w] for w in text] for _, text in texts])
 
     def numbers(self, found: list[bytes]) -> np.ndarray:
@@ -123,7 +144,9 @@ class LicenceScanner:
 
         Matches of a notice are chained while places rise in text and notice and at
         most ``MOST_GAP`` words of the text are skipped; a chain's share is that of
-        the notice's words it covers.
+        the notice's words it covers. Where words tell the notice from those of other
+        labels, the text must have them without others between. Of notices that
+        overlap, the one that covers most words is kept.
         """
         matches: dict[int, list[tuple[int, int, int]]] = {}
         edges = np.flatnonzero(np.diff(np.r_[False, ids > 0, False]))
@@ -135,39 +158,80 @@ class LicenceScanner:
                     matches.setdefault(notice, []).append((low + end - length, at - length, length))
         found = []
         for notice, hits in matches.items():
-            for first, end, covered in self._chains(sorted(hits)):
-                share = covered / self.sizes[notice]
-                if share >= LEAST_SHARE:
-                    found.append((first, end, self.labels[notice], min(1.0, share)))
-        return sorted(found)
-
-    def _chains(self, hits: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
-        """The best chain of each stretch of hits: ``(first word, end word, words covered)``."""
-        best: list[tuple[int, int, int]] = []  # covered, first, end of the best chain that ends with the hit
-        begin = 0
-        reach = -1
+            for chain in self._chains(sorted(hits), LEAST_SHARE * self.sizes[notice]):
+                place = np.full(self.sizes[notice], -1)
+                for start, at, length in chain:
+                    place[at : at + length] = np.arange(start, start + length)
+                edges = self.telling[notice]
+                if np.all((place[edges] == place[edges - 1] + 1) & (place[edges - 1] >= 0)):
+                    covered = sum(length for _, _, length in chain)
+                    end = chain[-1][0] + chain[-1][2]
+                    found.append((covered, chain[0][0], end, self.labels[notice], min(1.0, covered / len(place))))
+        kept: list[tuple[int, int, str, float]] = []
+        for _, first, end, label, share in sorted(found, key=lambda f: (-f[0], -f[4], f[1], f[3])):
+            at = bisect_left(kept, (first,))
+            if (at == len(kept) or kept[at][0] >= end) and (at == 0 or kept[at - 1][1] <= first):
+                kept.insert(at, (first, end, label, share))
+        return kept
+
+    def _chains(self, hits: list[tuple[int, int, int]], least: float) -> Iterator[list[tuple[int, int, int]]]:
+        """The chains of at least so many words: the best of each stretch of hits, then those beside it.
+
+        A chain is a list of hits, cut so that none covers words of the one before.
+        """
+        begin, reach = 0, -1
+        stretches = []
+        for k, (start, _, length) in enumerate(hits):
+            if k > begin and start - reach > MOST_GAP:
+                stretches.append(hits[begin:k])
+                begin, reach = k, -1
+            reach = max(reach, start + length)
+        stretches.append(hits[begin:])
+        while stretches:
+            stretch = stretches.pop()
+            best = self._best(stretch)
+            taken: list[tuple[int, int]] = []
+            for k in sorted(range(len(best)), key=lambda k: (-best[k][0], best[k][1])):
+                first, end = best[k][1], stretch[k][0] + stretch[k][2]
+                if best[k][0] < least:
+                    break
+                at = bisect_left(taken, (first,))
+                if (at == len(taken) or taken[at][0] >= end) and (at == 0 or taken[at - 1][1] <= first):
+                    taken.insert(at, (first, end))
+                    yield self._chain(stretch, best, k)
+            if taken:
+                # What lies between the chains taken may hold others.
+                lows, highs = [0, *[end for _, end in taken]], [*[first for first, _ in taken], None]
+                starts = [h[0] for h in stretch]
+                for low, high in zip(lows, highs, strict=True):
+                    inner = stretch[bisect_left(starts, low) : None if high is None else bisect_left(starts, high)]
+                    stretches.append([h for h in inner if high is None or h[0] + h[2] <= high])
+
+    @staticmethod
+    def _best(hits: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
+        """Words covered, first word, hit before and words cut of the best chain that ends with each hit."""
+        best: list[tuple[int, int, int, int]] = []
         for k, (start, place, length) in enumerate(hits):
-            if reach >= 0 and start - reach > MOST_GAP:
-                yield self._longest(best[begin:])
-                begin = k
-            own = (length, start, start + length)
-            for j in range(k - 1, begin - 1, -1):
+            own = (length, start, -1, 0)
+            for j in range(k - 1, -1, -1):
                 s, p, n = hits[j]
                 if start - s > MOST_GAP + max(n, length) + LONGEST:
                     break
                 skip = max(0, s + n - start, p + n - place)
                 if s < start and p < place and skip < length and start + skip - (s + n) <= MOST_GAP:
-                    covered = best[j][0] + length - skip
-                    own = max(own, (covered, best[j][1], start + length), key=lambda c: (c[0], -c[1]))
+                    own = max(own, (best[j][0] + length - skip, best[j][1], j, skip), key=lambda c: (c[0], -c[1]))
             best.append(own)
-            reach = max(reach if k > begin else -1, start + length)
-        if best:
-            yield self._longest(best[begin:])
+        return best
 
     @staticmethod
-    def _longest(chains: list[tuple[int, int, int]]) -> tuple[int, int, int]:
-        covered, first, end = max(chains, key=lambda c: (c[0], -c[1]))
-        return first, end, covered
+    def _chain(hits: list[tuple[int, int, int]], best: list[tuple[int, int, int, int]], at: int):
+        chain = []
+        while at >= 0:
+            start, place, length = hits[at]
+            _, _, before, skip = best[at]
+            chain.append((start + skip, place + skip, length - skip))
+            at = before
+        return chain[::-1]
 
 
 #: No match is longer than the longest notice.

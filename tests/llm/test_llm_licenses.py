@@ -104,3 +104,17 @@ def test_empty_table_null_keys_and_repeats(spark):
     assert scan(spark, []) == {}
     frame = spark.createDataFrame([(None, "cc by")] * 2, "doc_id int, text string")
     assert [(r.key, r.n_words) for r in scan_licenses(frame, "doc_id", "text").collect()] == [(None, 2)] * 2
+
+
+@pytest.mark.parametrize("label", sorted(NOTICES))
+def test_siblings_are_told_apart(label):
+    scanner = LicenceScanner(NOTICES, PHRASES)
+    for text in NOTICES[label]:
+        found = words(("some prose before " + text + " and after").encode())
+        assert [s[2] for s in scanner.spans(scanner.numbers(found))] == [label], text
+
+
+def test_unknown_words_where_siblings_differ_are_no_gap():
+    scanner = LicenceScanner(NOTICES, PHRASES)
+    for text in (NOTICES["gpl-3.0"][1].replace("GNU", "GNU Library"), NOTICES["cc-by-4.0"][1].replace("4.0", "Sampling 4.0")):
+        assert scanner.spans(scanner.numbers(words(text.encode()))) == []
