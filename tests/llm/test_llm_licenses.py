@@ -118,3 +118,12 @@ def test_unknown_words_where_siblings_differ_are_no_gap():
     scanner = LicenceScanner(NOTICES, PHRASES)
     for text in (NOTICES["gpl-3.0"][1].replace("GNU", "GNU Library"), NOTICES["cc-by-4.0"][1].replace("4.0", "Sampling 4.0")):
         assert scanner.spans(scanner.numbers(words(text.encode()))) == []
+
+
+def test_notices_close_to_one_another_are_all_found():
+    scanner = LicenceScanner(NOTICES, PHRASES)
+    for label in ("mit", "bsd", "gpl-3.0"):
+        one = words(NOTICES[label][-1].encode())
+        found = scanner.spans(scanner.numbers([*one, *[b"other"] * 3, *one, *one]))
+        n = len(one)
+        assert found == [(k, k + n, label, 1.0) for k in (0, n + 3, 2 * n + 3)]
