@@ -66,8 +66,56 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+CENTROIDS_START = r"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS place, vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id::VARCHAR), v) - 1 AS cluster, v
+  FROM kept QUALIFY cluster < 40
+)"""
+
+CENTROIDS_ASSIGN = r"""
+, a{n} AS MATERIALIZED (
+  SELECT place, cluster, distance FROM (
+    SELECT k.place, c.cluster,
+           list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(k.v, c.v)])::BIGINT AS distance
+    FROM kept k CROSS JOIN c{n} c
+  ) QUALIFY row_number() OVER (PARTITION BY place ORDER BY distance, cluster) = 1
+)"""
+
+CENTROIDS_MOVE = r"""
+, s{n} AS (
+  SELECT a.cluster, p.dim, sum(k.v[p.dim])::BIGINT AS total, count(*) AS n
+  FROM a{n} a JOIN kept k USING (place) CROSS JOIN (SELECT unnest(range(1, 65)) AS dim) p
+  GROUP BY a.cluster, p.dim
+), c{m} AS MATERIALIZED (
+  SELECT c.cluster, coalesce(m.v, c.v) AS v
+  FROM c{n} c LEFT JOIN (
+    SELECT cluster, list(((total - ((total % n) + n) % n) // n)::BIGINT ORDER BY dim) AS v FROM s{n} GROUP BY cluster
+  ) m USING (cluster)
+)"""
+
+CENTROIDS_END = r"""
+SELECT k.vec_id, a.cluster::INTEGER AS cluster, a.distance,
+       sum(a.distance) OVER (PARTITION BY a.cluster)::BIGINT AS cluster_inertia,
+       sum(a.distance) OVER ()::BIGINT AS inertia,
+       sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a5 a JOIN kept k USING (place) JOIN c5 c ON a.cluster = c.cluster
+"""
+
+ROUNDS = 5
+CENTROIDS = (
+    CENTROIDS_START
+    + "".join(CENTROIDS_ASSIGN.format(n=n) + CENTROIDS_MOVE.format(n=n, m=n + 1) for n in range(ROUNDS))
+    + CENTROIDS_ASSIGN.format(n=ROUNDS)
+    + CENTROIDS_END
+)
+
 ORACLES: dict[str, str] = {
     "op4_template_chat": CHAT,
     "op8_nra_topk": TOP_K,
     "op10_golden_mix": MIX,
+    "op12_pca_centroids": CENTROIDS,
 }

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyshelf.llm.centroids import cluster_vectors
 from tallyshelf.llm.chat import format_conversations, read_back
 from tallyshelf.llm.common import WORD, text_or_empty
 from tallyshelf.llm.ctw import score_texts
@@ -144,6 +145,17 @@ def mix_documents(spark, sf_dir):
     )
 
 
+def cluster_embeddings(spark, sf_dir):
+    """All embeddings in 40 clusters after five rounds, with their centroids' digests."""
+    assigned, centroids = cluster_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    digits = F.array_join(F.transform("centroid", lambda x: x.cast("string")), ",")
+    known = centroids.select("cluster", "cluster_inertia", "inertia", F.sha2(digits, 256).alias("centroid_sha256"))
+    # One row per centroid, 40 at most.
+    return assigned.join(F.broadcast(known), "cluster").select(
+        F.col("key").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_shortest_pack_first": pack_all_documents,
     "op2_ring_shards": shard_documents,
@@ -155,4 +167,5 @@ QUERIES: dict[str, Query] = {
     "op8_nra_topk": search_embeddings,
     "op9_context_tree": score_documents,
     "op10_golden_mix": mix_documents,
+    "op12_pca_centroids": cluster_embeddings,
 }

@@ -1,0 +1,100 @@
+import hashlib
+import math
+
+import numpy as np
+import pytest
+
+from tallyshelf.llm.centroids import Rotation, assign, cluster_vectors
+
+SCHEMA = "vec_id bigint, embedding array<double>"
+
+
+def brute(rows, k, rounds, width):
+    """``(key, cluster, distance)`` and the centroids, in Python integers."""
+    kept = [
+        (n, [math.floor(256 * x) for x in v])
+        for n, v in rows
+        if v is not None and len(v) == width and all(x is not None and math.isfinite(x) for x in v)
+    ]
+
+    def name(n):
+        return hashlib.sha256(f"2:{'' if n is None else n}".encode()).hexdigest()
+
+    centroids = [v for _, v in sorted(kept, key=lambda r: (name(r[0]), r[1]))[:k]]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c, strict=True)), i) for i, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        members = {}
+        for _, v in kept:
+            members.setdefault(nearest(v)[1], []).append(v)
+        for i, own in members.items():
+            centroids[i] = [sum(c) // len(own) for c in zip(*own, strict=True)]
+    last = [(n, *nearest(v)[::-1]) for n, v in kept]
+    return sorted(last, key=repr), centroids
+
+
+def found(spark, rows, schema=SCHEMA, k=6, rounds=3, width=8, **more):
+    df = spark.createDataFrame(rows, schema).repartition(3)
+    assigned, centroids = cluster_vectors(df, "vec_id", "embedding", k=k, rounds=rounds, width=width, **more)
+    assert assigned.columns == ["key", "cluster", "distance"]
+    listed = [r.centroid for r in centroids.orderBy("cluster").collect()]
+    return sorted(map(tuple, assigned.collect()), key=repr), listed
+
+
+def blobs(rng, n, width=8, centres=5):
+    middle = rng.normal(size=(centres, width))
+    return [(i, (middle[i % centres] + rng.normal(size=width) * 0.1).tolist()) for i in range(n)]
+
+
+@pytest.mark.parametrize("n, leading", [(1, 3), (5, 3), (80, 3), (300, 1), (300, 8), (300, 20)])
+def test_equal_to_brute_force(spark, n, leading):
+    rows = blobs(np.random.default_rng(n), n)
+    assert found(spark, rows, leading=leading) == brute(rows, 6, 3, 8)
+
+
+def test_ties_copies_and_vectors_that_take_no_part(spark):
+    grid = [(i, [float(i % 3), float(i % 2)] + [0.0] * 6) for i in range(60)]
+    rows = grid + grid[:10] + [(None, [1.0] * 8), (None, [1.0] * 8), (900, None), (901, []), (902, [1.0] * 7)]
+    rows += [(903, [1.0] * 9), (904, [None] + [1.0] * 7), (905, [math.nan] + [0.0] * 7), (906, [math.inf] * 8)]
+    assert found(spark, rows) == brute(rows, 6, 3, 8)
+
+
+def test_hot_vector(spark):
+    rows = [(i, [0.25] * 8) for i in range(200)] + blobs(np.random.default_rng(1), 100)
+    assert found(spark, rows) == brute(rows, 6, 3, 8)
+
+
+def test_components_beyond_floating_point_are_exact(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(2**22 + i % 7)] * 4 + (rng.normal(size=4) * 2**21).tolist()) for i in range(80)]
+    assert found(spark, rows) == brute(rows, 6, 3, 8)
+    huge = rows + [(500, [2.0**40] * 8)]
+    got, _ = found(spark, huge, k=100)
+    assert len(got) == 81
+    apart, _ = found(spark, [(i, [s * 2.0**50] * 8) for i, s in enumerate((-1, 1))], k=1, rounds=0)
+    assert sorted(d for _, _, d in apart) == [0, 2**63 - 1]
+    assert found(spark, [(1, [2.0**60] * 8), (2, [1e308] * 8)])[0] == []
+
+
+def test_empty_table(spark):
+    assert found(spark, []) == ([], [])
+
+
+def test_other_columns_may_have_any_name(spark):
+    schema = "vec_id bigint, embedding array<double>, v int, near int, key int, `a.b` int"
+    rows = [(*r, 1, 2, 3, 4) for r in blobs(np.random.default_rng(5), 40)]
+    assert found(spark, rows, schema) == brute([r[:2] for r in rows], 6, 3, 8)
+
+
+def test_bounds_rule_out_most_centroids():
+    rng = np.random.default_rng(6)
+    middle = rng.integers(-300, 300, size=(40, 64))
+    x = middle[rng.integers(0, 40, 2000)] + rng.integers(-20, 20, size=(2000, 64))
+    _, _, axes = np.linalg.svd(x - x.mean(axis=0), full_matrices=False)
+    turn = Rotation(x.mean(axis=0), axes.T, 16)
+    cluster, distance, verified = assign(x, turn.near(x), middle, turn.near(middle))
+    whole = ((x[:, None, :] - middle[None]) ** 2).sum(axis=2)
+    assert (cluster == whole.argmin(axis=1)).all() and (distance == whole.min(axis=1)).all()
+    assert verified < 2 * len(x)
