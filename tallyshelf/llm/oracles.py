@@ -66,6 +66,47 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+DIVERGENCE = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text
+  FROM documents
+), tokens AS (
+  SELECT doc, lang, source,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM docs
+), kept AS (
+  SELECT lang, term, count(*) AS total FROM tokens GROUP BY lang, term HAVING count(DISTINCT doc) >= 10
+), groups AS (
+  SELECT DISTINCT lang, source FROM docs
+), cells AS (
+  SELECT g.lang, g.source, k.term, k.total, count(t.doc) AS n
+  FROM groups g JOIN kept k ON g.lang = k.lang
+  LEFT JOIN tokens t ON t.lang = g.lang AND t.source = g.source AND t.term = k.term
+  GROUP BY g.lang, g.source, k.term, k.total
+), shares AS (
+  SELECT *,
+    1 + 1000000000::HUGEINT * (n + 2) // (sum(n) OVER own + 2 * count(*) OVER own)::HUGEINT AS p,
+    1 + 1000000000::HUGEINT * (total + 2) // (sum(total) OVER own + 2 * count(*) OVER own)::HUGEINT AS q
+  FROM cells WINDOW own AS (PARTITION BY lang, source)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)), 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY a.lang, a.source, b.source
+), terms AS (
+  SELECT lang, source, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank
+  FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)
+  FROM terms
+)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
 CENTROIDS_START = r"""
 WITH kept AS MATERIALIZED (
   SELECT row_number() OVER () AS place, vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
@@ -117,5 +158,6 @@ ORACLES: dict[str, str] = {
     "op4_template_chat": CHAT,
     "op8_nra_topk": TOP_K,
     "op10_golden_mix": MIX,
+    "op11_segment_divergence": DIVERGENCE,
     "op12_pca_centroids": CENTROIDS,
 }

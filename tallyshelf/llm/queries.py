@@ -11,6 +11,7 @@ from tallyshelf.llm.centroids import cluster_vectors
 from tallyshelf.llm.chat import format_conversations, read_back
 from tallyshelf.llm.common import WORD, text_or_empty
 from tallyshelf.llm.ctw import score_texts
+from tallyshelf.llm.divergence import source_divergence
 from tallyshelf.llm.licenses import scan_licenses
 from tallyshelf.llm.mixing import mix_sources
 from tallyshelf.llm.packing import pack_documents
@@ -18,6 +19,7 @@ from tallyshelf.llm.pii import BASE, FOUND, find_pii, span_list
 from tallyshelf.llm.quality import quality_verdicts
 from tallyshelf.llm.sharding import shard_rows
 from tallyshelf.llm.simhash import near_duplicates
+from tallyshelf.llm.suffixes import remove_repeats
 from tallyshelf.llm.topk import top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,6 +147,11 @@ def mix_documents(spark, sf_dir):
     )
 
 
+def audit_sources(spark, sf_dir):
+    """All sources of a language against each other and against it, by the terms of all documents."""
+    return source_divergence(table(spark, sf_dir, "documents"), "lang", "source", "text")
+
+
 def cluster_embeddings(spark, sf_dir):
     """All embeddings in 40 clusters after five rounds, with their centroids' digests."""
     assigned, centroids = cluster_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
@@ -156,6 +163,18 @@ def cluster_embeddings(spark, sf_dir):
     )
 
 
+def remove_repeated_strings(spark, sf_dir):
+    """All documents without the bytes of strings of 200 bytes that occur elsewhere too."""
+    cut = remove_repeats(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return cut.select(
+        F.col("key").alias("doc_id"),
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_shortest_pack_first": pack_all_documents,
     "op2_ring_shards": shard_documents,
@@ -167,5 +186,7 @@ QUERIES: dict[str, Query] = {
     "op8_nra_topk": search_embeddings,
     "op9_context_tree": score_documents,
     "op10_golden_mix": mix_documents,
+    "op11_segment_divergence": audit_sources,
     "op12_pca_centroids": cluster_embeddings,
+    "op13_prefix_doubling": remove_repeated_strings,
 }

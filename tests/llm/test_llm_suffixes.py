@@ -1,0 +1,133 @@
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tallyshelf.llm.suffixes import chunks, covered, doubled_lengths, lowest, names, remove_repeats, samples
+
+SCHEMA = "doc_id bigint, text string"
+
+
+def brute(rows, least):
+    """``(key, n_bytes, spans, kept)`` by counting every string of ``least`` bytes."""
+    texts = [(k, (t or "").encode()) for k, t in rows]
+    counts = Counter(t[i : i + least] for _, t in texts for i in range(len(t) - least + 1))
+    out = []
+    for key, t in texts:
+        gone = np.zeros(len(t) + 1, bool)
+        for i in range(len(t) - least + 1):
+            if counts[t[i : i + least]] > 1:
+                gone[i : i + least] = True
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], gone[:-1], [False]]).astype(int)))
+        spans = list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
+        out.append((key, len(t), spans, bytes(b for b, g in zip(t, gone, strict=False) if not g)))
+    return sorted(out, key=repr)
+
+
+def found(spark, rows, least, base, schema=SCHEMA, **more):
+    df = spark.createDataFrame(rows, schema).repartition(3)
+    cut = remove_repeats(df, "doc_id", "text", least=least, base=base, **more).collect()
+    return sorted([(r.key, r.n_bytes, [tuple(s) for s in r.spans], bytes(r.kept)) for r in cut], key=repr)
+
+
+def corpus(seed, n=60):
+    """Words from a small set, with copies, near copies and shared passages."""
+    draw = random.Random(seed)
+    words = ["".join(draw.choices("abcdeé", k=draw.randint(1, 5))) for _ in range(40)]
+
+    def text(size):
+        return " ".join(draw.choices(words, k=size))
+
+    rows, shared = [text(draw.randint(0, 60)) for _ in range(n)], text(12)
+    rows += [rows[i] for i in range(5)] + ["", "a", "ab" * 60, "x" * 200, "x" * 40]
+    for i in range(10):
+        near = rows[i].split()
+        if near:
+            near[draw.randrange(len(near))] = "other"
+        rows += [" ".join(near), text(5) + shared + text(5)]
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("seed, least, base", [(1, 24, 4), (2, 24, 24), (3, 7, 2), (4, 40, 9), (5, 1, 1)])
+def test_equal_to_brute_force(spark, seed, least, base):
+    rows = corpus(seed)
+    assert found(spark, rows, least, base) == brute(rows, least)
+
+
+def test_long_texts_in_pieces(spark):
+    draw = random.Random(8)
+    long = "".join(draw.choices("abc ", k=3000))
+    rows = [(1, long), (2, long[700:1400]), (3, "z" + long[100:300] + "z"), (4, "".join(draw.choices("abc ", k=900)))]
+    data, ends, origin = zip(*chunks([t.encode() for _, t in rows], 30, 64), strict=True)
+    assert max(map(len, data)) <= 64 + 29 and sum(len(e) for e in ends) == sum(map(len, origin))
+    assert found(spark, rows, 30, 8, chunk=64) == brute(rows, 30)
+
+
+def test_nulls_repeated_rows_and_keys(spark):
+    text = "one two three four five six seven eight nine ten"
+    rows = [(1, text), (1, text), (None, text[5:40]), (None, None), (2, None), (2, ""), (3, "something else entirely")]
+    assert found(spark, rows, 20, 8) == brute(rows, 20)
+
+
+def test_one_text_with_many_copies(spark):
+    text = " ".join(f"word{i}" for i in range(30))
+    rows = [(i, text) for i in range(150)] + [(900, text[:60] + "!" + text[60:]), (901, "alone " * 3)]
+    assert found(spark, rows, 30, 8) == brute(rows, 30)
+
+
+def test_empty_table_and_clashing_names(spark):
+    assert found(spark, [], 20, 8) == []
+    schema = "doc_id bigint, text string, data int, doc int, key int, name int, windows int"
+    rows = corpus(9, 20)
+    assert found(spark, [(*r, 1, 2, 3, 4, 5) for r in rows], 20, 8, schema) == brute(rows, 20)
+
+
+def test_arguments_are_checked(spark):
+    for base in (0, 21):
+        with pytest.raises(ValueError):
+            found(spark, [(1, "a")], 20, base)
+
+
+def test_settings_are_restored(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, None)
+    found(spark, corpus(1, 5), 20, 8)
+    assert spark.conf.get(setting, None) == before
+
+
+def test_names_are_equal_for_equal_strings_only():
+    data = np.frombuffer(("abcab" * 40 + "abcac" * 20).encode(), np.uint8)
+    for length in (1, 2, 3, 8, 13, 64):
+        name = names(data, length)
+        strings = [bytes(data[i : i + length]) for i in range(len(data) - length + 1)]
+        assert len(name) == len(strings)
+        assert len(set(zip(name.tolist(), strings, strict=True))) == len(set(strings)) == len(set(name.tolist()))
+
+
+def test_lowest():
+    values = np.random.default_rng(1).integers(0, 50, 100)
+    for width in (1, 2, 3, 7, 64, 100):
+        assert lowest(values, width).tolist() == [min(values[i : i + width]) for i in range(101 - width)]
+
+
+def test_equal_windows_choose_the_same_offset():
+    draw = random.Random(3)
+    text = "".join(draw.choices("ab", k=400)).encode()
+    chosen = {}
+    for data in (text, b"b" + text[37:], text[200:] + text[:200]):
+        for first, n, name in zip(*[x.tolist() for x in samples(data, [len(data)], 6, 30)[:3]], strict=True):
+            for i in range(first, first + n):
+                chosen.setdefault(data[i : i + 30], set()).add(name)
+    assert all(len(n) == 1 for n in chosen.values())
+
+
+def test_lengths_at_most_double():
+    for base, least in [(64, 200), (1, 200), (200, 200), (3, 1000), (7, 9)]:
+        lengths = doubled_lengths(base, least)
+        assert lengths[0] == base and lengths[-1] == least
+        assert all(a < b <= 2 * a or b - a <= 8 for a, b in zip(lengths, lengths[1:], strict=False))
+
+
+def test_runs_that_touch_are_one():
+    assert covered([(0, 1), (10, 1), (21, 2), (40, 1)], 10) == [(0, 20), (21, 32), (40, 50)]
