@@ -165,4 +165,4 @@ def tags_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tags_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return melt_votes(tags_wide(spark, sf_dir), "user_id", key_type="bigint")
+    return melt_votes(tags_wide(spark, sf_dir), "user_id", key_type="bigint", value_type="bigint")

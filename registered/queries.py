@@ -11,10 +11,14 @@ from registered import fixture
 from registered.fixture import SPEC, items, items_raw, table, tags_long, tags_wide
 from tallyshelf.functions.derive import interval_bounds, interval_middle
 from tallyshelf.operators.clean import clean
+from tallyshelf.operators.cooccurrence import related_tags, tag_pairs
 from tallyshelf.operators.dedup import first_per_key
+from tallyshelf.operators.html import html_fields, html_text, typed_fields
+from tallyshelf.operators.nested import child_rows, discover_schema, nested_columns
 from tallyshelf.operators.reshape import explode_tokens, melt_votes
+from tallyshelf.operators.trend import period_series, trend_test, with_change
 from tallyshelf.plans import reports
-from tallyshelf.plans.jobs import clean_job, export_job, publish_job, row_counts
+from tallyshelf.plans.jobs import clean_job, export_zone, publish_job, row_counts
 from tallyshelf.sources.readers import (
     NULL_MARK,
     read_feed,
@@ -64,7 +68,7 @@ def explode_genres(spark, d):
 
 
 def melted_votes(spark, d):
-    return melt_votes(tags_wide(spark, d), "user_id", key_type="bigint")
+    return tags_long(spark, d)
 
 
 def quality(spark, d):
@@ -176,7 +180,7 @@ def csv_wide_melt(spark, d):
     """The wide matrix written as CSV, read back by its header and melted."""
     path = scratch_folder(spark, "matrix")
     write_csv(tags_wide(spark, d), path)
-    return melt_votes(read_feed(spark, path), "user_id", key_type="bigint")
+    return melt_votes(read_feed(spark, path), "user_id", key_type="bigint", value_type="bigint")
 
 
 def csv_free_text(spark, d):
@@ -240,9 +244,8 @@ def exported_genres(spark, d):
 def exported_kpis(spark, d):
     """The KPI record exported as JSON and read back."""
     path = scratch_folder(spark, "kpis")
-    record = kpi_summary(spark, d)
-    save_record(record, path)
-    return read_record(spark, path, record.schema)
+    save_record(kpi_summary(spark, d), path)
+    return read_record(spark, path, reports.kpi_schema(KPIS))
 
 
 def sql_views(spark, d):
@@ -281,10 +284,12 @@ def sql_views(spark, d):
 
 def export_all(spark, d):
     """The whole export, all ten results read back, one row per result, row and measure."""
-    out = scratch_folder(spark, "export")
-    export_job(
-        items(spark, d, *fixture.COLUMNS),
-        tags_long(spark, d),
+    zone, out = scratch_folder(spark, "zone"), scratch_folder(spark, "export")
+    write_partitioned(items(spark, d, *fixture.COLUMNS), f"{zone}/games", SPEC.year)
+    write_table(tags_long(spark, d), f"{zone}/tags_long")
+    export_zone(
+        spark,
+        zone,
         out,
         first_year=FIRST,
         last_year=LAST,
@@ -318,8 +323,7 @@ def export_all(spark, d):
                 F.col("value").cast("double").alias("value"),
             )
         )
-    record = kpi_summary(spark, d)
-    kpis = read_record(spark, f"{out}/summary", record.schema)
+    kpis = read_record(spark, f"{out}/summary", reports.kpi_schema(KPIS))
     kpis = kpis.select(*[F.col(c).cast("double").alias(c) for c in kpis.columns])
     whole = kpis.unpivot([], kpis.columns, "measure", "value")
     parts.append(whole.select(F.lit("summary").alias("result"), F.lit("all").alias("name"), "measure", "value"))
@@ -359,6 +363,119 @@ def warehouse_tiers(spark, d):
     return tiers.join(listed, how="cross")
 
 
+def median_decimal(spark, d):
+    """The median price as an exact decimal."""
+    prices = items(spark, d, "price").select(F.col("price").cast("decimal(20,8)").alias("price"))
+    return reports.median_price(prices).select(F.col("median_price").cast("double").alias("median_price"))
+
+
+def event_pairs(spark, d):
+    """Which event types the same users have."""
+    return tag_pairs(tags_long(spark, d), "user_id", "tag")
+
+
+def genre_pairs(spark, d):
+    """Which genres the same items have."""
+    return tag_pairs(explode_genres(spark, d), "item_id", "genre")
+
+
+def related_genres(spark, d):
+    """For each genre the three that share most of its items."""
+    return related_tags(genre_pairs(spark, d), 3)
+
+
+def page_text(spark, d):
+    """All pages as title and text."""
+    return html_text(table(spark, d, "pages"), "page_id", "html").withColumnRenamed("key", "page_id")
+
+
+def page_fields(spark, d):
+    """All list items and table rows of all pages."""
+    fields = html_fields(table(spark, d, "pages"), "page_id", "html").drop("cells")
+    return fields.withColumnRenamed("key", "page_id")
+
+
+def requirement_fields(spark, d):
+    """Requirement texts of all parts, written as lists and tables, back as typed columns."""
+    parts = table(spark, d, "part")
+    pieces = [
+        "<h2>", "p_name", "</h2><ul class='bb'><li><strong>Brand:</strong> ", "p_brand", "<br></li><li><b>Type</b>: ",
+        "p_type", "<li>Size: ", "p_size", " cm</ul><table><tr><th>Retail price</th><td>", "p_retailprice",
+        " USD</td><tr><td>Stock<td>many</table><!-- <li>", "p_partkey", ": -->",
+    ]
+    html = F.concat(*[F.col(x).cast("string") if x in parts.columns else F.lit(x) for x in pieces])
+    columns = {
+        "brand": (["Brand"], "string"),
+        "kind": (["Type"], "string"),
+        "size_cm": (["Size"], "int"),
+        "price": (["Price", "Retail price"], "double"),
+        "stock": (["Stock"], "bigint"),
+    }
+    typed = typed_fields(html_fields(parts.withColumn("html", html), "p_partkey", "html"), columns)
+    return typed.select(F.col("key").alias("part_id"), *columns, F.to_json("rest").alias("rest"))
+
+
+def props_schema(spark, d):
+    """Every path of the events' properties, with its type."""
+    return discover_schema(table(spark, d, "events"), "props")
+
+
+def props_columns(spark, d):
+    """The events with their properties as columns."""
+    events = table(spark, d, "events").select("event_id", "user_id", "event_type", "props")
+    typed = nested_columns(events, "props", {"k": ("$.k", "bigint")})
+    return typed.withColumn("misfits", F.array_join("misfits", ",")).drop("props")
+
+
+def _order_documents(spark, d):
+    """Orders with their lines as nested text in single quotes, at most a thousand lines a text."""
+    lines = table(spark, d, "lineitem").select(
+        "l_orderkey",
+        F.floor(F.col("l_linenumber") / 1000).alias("part"),
+        F.struct("l_linenumber", "l_quantity", "l_returnflag", "l_shipdate").alias("line"),
+    )
+    nested = lines.groupBy("l_orderkey", "part").agg(F.array_sort(F.collect_list("line")).alias("lines"))
+    text = F.translate(F.to_json(F.struct(F.col("l_orderkey").alias("order"), "lines")), '"', "'")
+    return nested.select("l_orderkey", text.alias("document"))
+
+
+def props_children(spark, d):
+    """The lines of all orders, from nested text to a child table."""
+    columns = {
+        "line_number": ("$.l_linenumber", "bigint"),
+        "quantity": ("$.l_quantity", "double"),
+        "return_flag": ("$.l_returnflag", "string"),
+    }
+    children = child_rows(_order_documents(spark, d), ["l_orderkey"], "document", "$.lines", columns)
+    return children.select("l_orderkey", "position", *columns)
+
+
+def nested_schema(spark, d):
+    """Every path of the orders' nested texts, with its type."""
+    return discover_schema(_order_documents(spark, d), "document")
+
+
+def monthly_trend(spark, d):
+    """The dearest orders by month, months without any included, with change and moving mean."""
+    orders = table(spark, d, "orders").filter("o_totalprice > 498000")
+    measures = {
+        "n": F.count("*"),
+        "value": F.sum(F.floor("o_totalprice").cast("bigint")),
+        "dearest": F.max("o_totalprice"),
+    }
+    series = period_series(orders, "o_orderdate", measures, zero=["n", "value"])
+    return with_change(series, "value").drop("year_before").withColumn("growth", F.round("growth", 6))
+
+
+def category_trends(spark, d):
+    """Whether the items of each genre that appear a month rise or fall."""
+    rows = explode_tokens(items(spark, d, "genres", "release_date"), "genres", "genre")
+    series = period_series(rows, "release_date", {"n_items": F.count("*")}, by=["genre"], zero=["n_items"])
+    tested = trend_test(series, "n_items", by=["genre"])
+    rounded = [F.round(c, 6).alias(c) for c in ("tau", "z", "slope", "intercept")]
+    return tested.select("genre", "n", "s", *rounded, "trend")
+
+
 QUERIES: dict[str, Query] = {
     "clean_items": clean_items,
     "dedup_items": dedup_items,
@@ -401,4 +518,17 @@ QUERIES: dict[str, Query] = {
     "export_all": export_all,
     "clean_job_counts": clean_job_counts,
     "warehouse_tiers": warehouse_tiers,
+    "median_decimal": median_decimal,
+    "tag_pairs": event_pairs,
+    "genre_pairs": genre_pairs,
+    "related_genres": related_genres,
+    "page_text": page_text,
+    "page_fields": page_fields,
+    "requirement_fields": requirement_fields,
+    "props_schema": props_schema,
+    "props_columns": props_columns,
+    "props_children": props_children,
+    "nested_schema": nested_schema,
+    "monthly_trend": monthly_trend,
+    "category_trends": category_trends,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
-from decimal import Decimal
+from decimal import Decimal, localcontext
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +13,10 @@ from pyspark.sql import types as T
 from tallyshelf.functions.names import named
 
 BINS, HELD = 10_000, 10_000
+#: Passes after which something is wrong: with the fewest bins allowed 2^64 values need about 40, and decimals of 38 digits 65 more.
+MOST_PASSES = 200
+#: Decimal digits of the arithmetic on brackets; Spark's decimals have 38.
+DIGITS = 80
 
 
 def exact_quantile(df: DataFrame, column: str, q: float, bins: int = BINS, held: int = HELD):
@@ -25,8 +29,14 @@ def exact_quantile(df: DataFrame, column: str, q: float, bins: int = BINS, held:
     of ``bins`` errs by a share of 1 / ``bins``, so each pass leaves a few
     ``bins``-ths of the values, whatever they are: ten billion need three passes.
     Up to ``held`` values are sorted on the driver at the end. Like
-    ``DataFrame.approxQuantile`` it runs at once.
+    ``DataFrame.approxQuantile`` it runs at once. RuntimeError if the values change
+    between passes, or if 200 passes do not end.
     """
+    with localcontext(prec=DIGITS):
+        return _narrowed(df, column, q, bins, held)
+
+
+def _narrowed(df: DataFrame, column: str, q: float, bins: int, held: int):
     if bins < 10 or held < 1:
         raise ValueError("bins must be 10 or more, held 1 or more")
     if not 0 <= q <= 1:
@@ -38,12 +48,19 @@ def exact_quantile(df: DataFrame, column: str, q: float, bins: int = BINS, held:
         values = values.select(x.cast("double").alias("x")).filter("NOT isnan(x)")
     total, low, high = values.agg(F.count("x"), F.min("x"), F.max("x")).first()
     rank = max(math.ceil(q * total), 1)
-    inside, left, skipped = values, total, 0
+    inside, left, skipped, passes = values, total, 0, 0
     while left > held and low < high:
+        passes += 1
+        if passes > MOST_PASSES:
+            raise RuntimeError(f"{MOST_PASSES} passes over {column} did not bracket the quantile")
         wanted = (rank - skipped) / left
         shares = [max(0.0, wanted - 2 / bins), min(1.0, wanted + 2 / bins)]
         found = inside.agg(_sketch(x, low, high, shares, bins)).first()[0]
-        first, second = (min(max(v, low), high) for v in (_value(f, low, high) for f in found))
+        probes = [min(max(_value(f, low, kind), low), high) for f in found]
+        if _is_wide(low, high):
+            # Doubles cannot tell all values of such a bracket apart: its middle halves it at least.
+            probes = sorted([probes[0] if wanted < 0.5 else probes[1], _middle(low, high, kind)])
+        first, second = probes
         lo, hi = F.lit(first), F.lit(second)
         at = values.agg(*[F.count_if(t) for t in (x < lo, x <= lo, x < hi, x <= hi)]).first()
         if rank <= at[0]:
@@ -65,6 +82,17 @@ def exact_quantile(df: DataFrame, column: str, q: float, bins: int = BINS, held:
     return rest[rank - skipped - 1] if rest else None
 
 
+def _is_wide(low, high) -> bool:
+    """Whether whole numbers or decimals lie further apart than doubles count."""
+    return not isinstance(low, float) and high - low >= 2**62
+
+
+def _middle(low, high, kind: T.DataType):
+    if isinstance(kind, T.DecimalType):
+        return low + ((high - low) / 2).quantize(Decimal(1).scaleb(-kind.scale))
+    return low + (high - low) // 2
+
+
 def _sketch(x: Column, low, high, shares: list[float], bins: int) -> Column:
     """Values near the shares, of doubles.
 
@@ -74,14 +102,17 @@ def _sketch(x: Column, low, high, shares: list[float], bins: int) -> Column:
     if isinstance(low, float):
         number = F.greatest(F.least(x, F.lit(sys.float_info.max)), F.lit(-sys.float_info.max))
     else:
-        number = x.cast("double") - float(low) if high - low >= 2**62 else (x - F.lit(low)).cast("double")
+        number = x.cast("double") - float(low) if _is_wide(low, high) else (x - F.lit(low)).cast("double")
     return F.percentile_approx(number, shares, bins)
 
 
-def _value(found: float, low, high):
+def _value(found: float, low, kind: T.DataType):
+    """The value at a sketched distance: of decimals a whole number of the type's last digits."""
     if isinstance(low, float):
         return found
-    return low + type(low)(int(found))
+    if isinstance(kind, T.DecimalType):
+        return low + Decimal(found).quantize(Decimal(1).scaleb(-kind.scale))
+    return low + round(found)
 
 
 def _next(value, kind: T.DataType, step: int):

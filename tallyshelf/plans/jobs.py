@@ -1,7 +1,7 @@
 """The batch jobs: clean a feed, publish it as tables, export the reports.
 
-Every step reads files the step before has written, so nothing is computed
-twice and a lost executor costs only the running stage.
+Each job but ``export_job`` reads files that the step before has written, so the
+feed is cleaned once and a lost executor costs only the running stage.
 """
 
 from __future__ import annotations
@@ -108,7 +108,8 @@ def export_job(
 ) -> None:
     """Write the nine report files and the KPI record.
 
-    The band reports go out in band order. Without years the reports have their own ranges.
+    Every report reads ``items`` or ``tags`` anew: pass tables that were read, as
+    ``export_zone`` does; what a lazy frame stands for is computed each time. The band reports go out in band order. Without years the reports have their own ranges.
     """
     years = {} if first_year is None or last_year is None else {"first": first_year, "last": last_year}
     playtime = reports.genre_playtime(items, min_ratings=min_ratings, min_items=min_items)
@@ -129,3 +130,9 @@ def export_job(
     for name, (result, order) in results.items():
         save_result(result, f"{out}/{name}", *order, drop=["band"])
     save_record(reports.kpi_summary(items, shares), f"{out}/{SUMMARY}")
+
+
+def export_zone(spark: SparkSession, clean_zone: str, out: str, **options) -> None:
+    """``export_job`` over the written tables of a clean zone, with its options."""
+    items, tags = (read_table(spark, f"{clean_zone}/{name}") for name in (GAMES, TAGS))
+    export_job(items, tags, out, **options)

@@ -11,8 +11,10 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyshelf.functions.bands import ACHIEVEMENT_BANDS, PRICE_BANDS, PRICE_TIERS, Bands
+from tallyshelf.functions.names import quoted
 from tallyshelf.functions.rounding import round_half_even, rounded
 from tallyshelf.operators.grouped import by_band, last_by, ranked, top_k
 from tallyshelf.operators.histogram import equal_width_histogram
@@ -188,9 +190,10 @@ def free_paid_split(items: DataFrame, *, free: str = "is_free") -> DataFrame:
 
 
 def median_price(items: DataFrame, *, price: str = "price") -> DataFrame:
-    """The exact median of all prices, free items included."""
+    """The exact median of all prices, free items included, in the prices' type."""
     value = exact_quantile(items, price, 0.5)
-    return items.sparkSession.createDataFrame([(value,)], "median_price double")
+    kind = T.StructType([T.StructField("median_price", items.schema[price].dataType)])
+    return items.sparkSession.createDataFrame([(value,)], kind)
 
 
 # Makers
@@ -332,3 +335,9 @@ def kpi_summary(
         F.lit(exact_quantile(items, price, 0.5)).cast("double").alias("median_price_gbp"),
         *[round_half_even(_rate(flag, None), 3).alias(n) for n, flag in shares.items()],
     )
+
+
+def kpi_schema(shares: Mapping[str, str] = KPI_SHARES) -> str:
+    """The KPI record's columns, for reading it back."""
+    counts = "total_games bigint, free_games bigint, paid_games bigint"
+    return ", ".join([counts, "avg_positive_ratio double, median_price_gbp double", *(f"{quoted(n)} double" for n in shares)])

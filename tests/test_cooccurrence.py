@@ -1,0 +1,77 @@
+import random
+from collections import Counter
+from itertools import combinations
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyshelf.operators.cooccurrence import item_pairs, related_tags, tag_pairs
+
+SCHEMA = "item bigint, tag string"
+
+
+def brute(rows):
+    items = {}
+    for key, tag in rows:
+        if key is not None and tag is not None:
+            items.setdefault(key, set()).add(tag)
+    both = Counter(p for tags in items.values() for p in combinations(sorted(tags), 2))
+    each = Counter(t for tags in items.values() for t in tags)
+    return {
+        (a, b): (n, each[a], each[b], len(items), n / (each[a] + each[b] - n), float(n) * len(items) / (float(each[a]) * each[b]))
+        for (a, b), n in both.items()
+    }
+
+
+def found(spark, rows, **more):
+    pairs = tag_pairs(spark.createDataFrame(rows, SCHEMA).repartition(3), "item", "tag", **more).collect()
+    out = {(r.tag_a, r.tag_b): tuple(r)[2:] for r in pairs}
+    assert len(out) == len(pairs)
+    return out
+
+
+def corpus(seed, items=60, tags=30):
+    draw = random.Random(seed)
+    return [(i, f"t{min(draw.randrange(tags), draw.randrange(tags))}") for i in range(items) for _ in range(draw.randrange(12))]
+
+
+@pytest.mark.parametrize("block", [1, 2, 5, 256])
+def test_equal_to_all_pairs(spark, block):
+    rows = corpus(block) + [(None, "a"), (1, None), (1, "É"), (1, "é"), (1, "")]
+    assert found(spark, rows, block=block) == brute(rows)
+
+
+def test_repeated_rows_count_once(spark):
+    assert found(spark, [(1, "a"), (1, "b")] * 3) == {("a", "b"): (1, 1, 1, 1, 1.0, 1.0)}
+
+
+def test_least_and_no_pairs(spark):
+    rows = corpus(7)
+    assert found(spark, rows, least=3) == {p: m for p, m in brute(rows).items() if m[0] >= 3}
+    assert found(spark, [(1, "a"), (2, "b")]) == {} == found(spark, [])
+    with pytest.raises(ValueError):
+        found(spark, rows, block=0)
+
+
+def test_an_item_of_5000_tags_is_paired_in_many_groups(spark):
+    """Every pair once, and no group has more than two blocks of the item's tags."""
+    rows = spark.range(5000).select(F.floor(F.col("id") / 10_000).alias("item"), F.col("id").cast("string").alias("tag"))
+    pairs = item_pairs(rows, "item", "tag", block=256)
+    counted = pairs.agg(F.count("*"), F.count_distinct("tag_a", "tag_b"), F.count_if(F.col("tag_a") < F.col("tag_b")))
+    assert tuple(counted.first()) == (12_497_500,) * 3
+    # 20 blocks give 210 groups: one task has about a two-hundredth of the pairs, times its groups.
+    spread = pairs.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.count("*")).first()
+    assert spread[1] > 1 and spread[0] < 12_497_500 * 0.6
+
+
+def test_pairs_are_counted_before_the_shuffle(spark):
+    plan = tag_pairs(spark.createDataFrame(corpus(1), SCHEMA), "item", "tag")._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_related_tags(spark):
+    rows = [(i, t) for i, tags in enumerate(["abc", "ab", "ab", "ac", "d"]) for t in tags]
+    pairs = tag_pairs(spark.createDataFrame(rows, SCHEMA), "item", "tag")
+    got = {(r.tag, r.rank): (r.related, r.n_both) for r in related_tags(pairs, 2).collect()}
+    assert got == {("a", 1): ("b", 3), ("a", 2): ("c", 2), ("b", 1): ("a", 3), ("b", 2): ("c", 1), ("c", 1): ("a", 2), ("c", 2): ("b", 1)}
+    assert {r.related for r in related_tags(pairs, 1, "lift").filter("tag = 'c'").collect()} == {"a"}

@@ -1,0 +1,212 @@
+import random
+import re
+from html.parser import HTMLParser
+
+import pytest
+
+from tallyshelf.functions.html import BLOCKS, CELLS, page_fields, page_text, split_label, squeezed, tokens
+from tallyshelf.operators.html import html_fields, html_text, html_tokens, typed_fields
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def kinds(source):
+    return [(t.kind, t.name or t.text) for t in tokens(source)]
+
+
+class Reader(HTMLParser):
+    """Another parser, for pages whose comments and quotes are all closed."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.lines, self.line, self.skip, self.title = [], [], None, None
+
+    def flush(self):
+        if found := squeezed("".join(self.line)):
+            self.lines.append(found)
+        self.line = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("script", "style", "title"):
+            self.skip = tag
+        self.edge(tag)
+
+    def handle_endtag(self, tag):
+        self.skip = None if tag == self.skip else self.skip
+        self.edge(tag)
+
+    def edge(self, tag):
+        if tag in BLOCKS:
+            self.flush()
+        elif tag in CELLS:
+            self.line.append(" ")
+
+    def handle_data(self, data):
+        if self.skip is None:
+            self.line.append(data)
+        elif self.skip == "title" and self.title is None:
+            self.title = squeezed(data)
+
+
+def read_by_other(source):
+    reader = Reader()
+    reader.feed(source)
+    reader.close()
+    reader.flush()
+    return reader.title, "\n".join(reader.lines)
+
+
+def test_states():
+    assert kinds("a<b>c</b>") == [("text", "a"), ("start", "b"), ("text", "c"), ("end", "b")]
+    assert kinds("<!-- <p> -->x<!doctype html><?php y ?></ z>") == [
+        ("comment", " <p> "), ("text", "x"), ("comment", "!doctype html"), ("comment", "?php y ?"), ("comment", "/ z"),
+    ]
+    assert kinds("<!-->a<!--->b") == [("comment", ""), ("text", "a"), ("comment", ""), ("text", "b")]
+    assert kinds("1 < 2 <3 a<-b") == [("text", "1 < 2 <3 a<-b")]
+    assert kinds("<SCRIPT>if(a<b)'</p>'</Script >z") == [
+        ("start", "script"), ("raw", "script"), ("end", "script"), ("text", "z"),
+    ]
+    assert kinds("<style></styles></style>") == [("start", "style"), ("raw", "style"), ("end", "style")]
+
+
+def test_what_is_not_closed():
+    assert kinds("a<!-- b <p>c") == [("text", "a"), ("comment", " b <p>c")]
+    assert kinds("a<p class='x>b</p>") == [("text", "a")]
+    assert kinds("a<p class") == [("text", "a")] == kinds("a</p")
+    assert kinds("a<script>b</p>") == [("text", "a"), ("start", "script"), ("raw", "script")]
+    assert kinds("a<!x") == [("text", "a"), ("comment", "!x")]
+    assert kinds("") == [] and kinds("<") == [("text", "<")]
+
+
+def test_attributes():
+    (tag,) = tokens("""<A b="1>2" c='x"y' D=z&amp;w e f = g b=9 / h="&lt;">""")
+    assert tag.name == "a"
+    assert dict(tag.attributes) == {"b": "1>2", "c": 'x"y', "d": "z&w", "e": "", "f": "g", "h": "<"}
+
+
+def test_character_references():
+    assert page_text("&lt;b&gt; &amp;amp; &#65;&#x42; &copy; &nbsp;&nope; &#xD800; &")[1] == "<b> &amp; AB © &nope; � &"
+
+
+def test_text_of_blocks_cells_and_title():
+    source = "<title> A\n&amp;  b</title><h1>x</h1>y <i>z</i>\n w<br>v<table><tr><td>1<td>2<tr><td>3</table><title>no</title>"
+    assert page_text(source) == ("A & b", "x\ny z w\nv\n1 2\n3")
+    assert page_text("plain") == (None, "plain") and page_text("") == (None, "")
+
+
+def test_against_another_parser(spark):
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet").select("page_id", "html")
+    got = {r.key: (r.title, r.text) for r in html_text(pages, "page_id", "html").collect()}
+    assert got == {r.page_id: read_by_other(r.html) for r in pages.collect()}
+
+
+def test_random_pages_against_another_parser():
+    draw = random.Random(1)
+    pieces = ["<p>", "</p>", "<b>", "</b>", "<li a='>'>", "<br/>", "<!-- <p> -->", "&amp;", "&#233;", "text", " ", "\n", "x < y"]
+    pieces += ["<script>a<b</script>", "<td>", "</ul>", '<a href="x>y">', "</a>", "<style>p{}</style>", "é", "<h2>", "&lt;p&gt;"]
+    for _ in range(300):
+        source = "".join(draw.choices(pieces, k=draw.randrange(25)))
+        assert page_text(source) == read_by_other(source), source
+
+
+def listed(source):
+    return [(f.kind, f.depth, f.section, f.name, f.value) for f in page_fields(source)]
+
+
+def test_fields_of_lists():
+    source = """<h2>Needs</h2><strong>Minimum:</strong><ul class="x"><li><strong>OS:</strong> Any 7<br></li>
+    <li>Memory: <i>2</i> GB<ul><li>inner</li></ul>free</li><li><a href="/u?a=1&amp;b">see</a> http://x:80</li></ul>"""
+    assert listed(source) == [
+        ("item", 1, "Minimum", "OS", "Any 7"),
+        ("item", 1, "Minimum", "Memory", "2 GB free"),
+        ("item", 2, "Minimum", None, "inner"),
+        ("item", 1, "Minimum", None, "see http://x:80"),
+    ]
+    assert [f.link for f in page_fields(source)] == [None, None, None, "/u?a=1&b"]
+
+
+def test_fields_of_tables_and_definitions():
+    source = """<table><caption>Sizes</caption><tr><th>Width:</th><td>3 cm</td></tr><tr><td>a<td>b<td>c<tr><td>alone</table>
+    <dl><dt>Term:</dt><dd>one<dd>two<dt>Next<dd>three</dl>"""
+    assert listed(source) == [
+        ("row", 1, "Sizes", "Width", "3 cm"),
+        ("row", 1, "Sizes", "a", "b c"),
+        ("row", 1, "Sizes", None, "alone"),
+        ("definition", 1, "Sizes", "Term", "one"),
+        ("definition", 1, "Sizes", "Term", "two"),
+        ("definition", 1, "Sizes", "Next", "three"),
+    ]
+    assert [f.cells for f in page_fields(source)][1] == ("a", "b", "c")
+
+
+def test_broken_lists():
+    assert listed("<li>a<li>b: c") == [("item", 0, None, None, "a"), ("item", 0, None, "b", "c")]
+    assert listed("<ul><li>a<ul><li>b<li>c</ul><li>d") == [
+        ("item", 1, None, None, "a"), ("item", 2, None, None, "b"), ("item", 2, None, None, "c"), ("item", 1, None, None, "d"),
+    ]
+    assert listed("</ul></li><ul><li>a</ol></tr><li>b</ul>tail") == [("item", 1, None, None, "a"), ("item", 1, None, None, "b")]
+    assert listed("<ul><li>a<ol><li>b</ul><li>c") == [
+        ("item", 1, None, None, "a"), ("item", 2, None, None, "b"), ("item", 0, None, None, "c"),
+    ]
+    assert listed("<table><tr><td>k<td><ul><li>x<li>y</ul></table>") == [
+        ("row", 1, None, "k", ""), ("item", 2, None, None, "x"), ("item", 2, None, None, "y"),
+    ]
+    assert listed("<ul><li></li><li> </li></ul>") == [] == listed("<p>nothing here</p>")
+
+
+def test_a_heading_that_is_not_closed_ends_where_a_list_begins():
+    assert listed("<h3>Top<ul><li>a</ul>") == [("item", 1, "Top", None, "a")]
+    assert listed("<b>not a heading<h2>Head</h2><ul><li>a</ul>") == [("item", 1, "Head", None, "a")]
+
+
+@pytest.mark.parametrize(
+    "text, split",
+    [("a: b", ("a", "b")), ("a:", ("a", "")), ("a:b", (None, "a:b")), ("x 1:2: c: d", ("x 1:2", "c: d")), ("", (None, ""))],
+)
+def test_labels(text, split):
+    assert split_label(text) == split
+
+
+def test_labels_take_time_in_proportion():
+    assert split_label("a:b" * 100_000)[0] is None
+
+
+def test_typed_columns(spark):
+    rows = [
+        (1, "<ul><li>OS: Any<li>Memory: 2,048.5 MB<li>Cores: 4 or more<li>Since: on 2019-03-01<li>Other: x</ul>"),
+        (2, "<table><tr><td>RAM<td>many<tr><td>cores<td>2.5<tr><td>ram<td>8</table><li>loose"),
+        (3, "<p>none"),
+        (None, None),
+        (4, "<li>memory: 1<li>RAM: 2"),
+    ]
+    columns = {
+        "os": (["OS"], "string"),
+        "memory": (["memory", "ram"], "double"),
+        "cores": (["Cores"], "int"),
+        "since": (["Since"], "date"),
+    }
+    fields = html_fields(spark.createDataFrame(rows, "id int, page string"), "id", "page")
+    got = {r.key: r for r in typed_fields(fields, columns).collect()}
+    assert set(got) == {1, 2, 4}
+    one, two, four = got[1], got[2], got[4]
+    assert (one.os, one.memory, one.cores, str(one.since), one.rest) == ("Any", 2048.5, 4, "2019-03-01", {"Other": "x"})
+    # The first value of a name counts; what is no number is kept as it was.
+    assert (two.os, two.memory, two.cores, two.rest) == (None, None, 2, {"RAM": "many"})
+    assert four.memory == 1.0 and four.rest == {}
+    with pytest.raises(ValueError):
+        typed_fields(fields, {"a": (["x"], "int"), "b": (["X"], "int")})
+
+
+def test_token_rows(spark):
+    rows = [(1, '<p a="b">x</p>'), (2, None), (3, "")]
+    df = spark.createDataFrame(rows, "id int, page string")
+    got = [tuple(r) for r in html_tokens(df, "id", "page").orderBy("key", "position").collect()]
+    assert got == [(1, 0, "start", "p", "", {"a": "b"}), (1, 1, "text", "", "x", {}), (1, 2, "end", "p", "", {})]
+
+
+def test_one_row_a_page_and_long_pages(spark):
+    long = "<div title='>'>" * 20_000 + "<p>word " * 50_000 + "&amp;" * 1000
+    df = spark.createDataFrame([(1, long), (1, long), (None, None)], "id int, html string")
+    got = html_text(df, "id", "html").collect()
+    assert sorted((r.key or 0, r.title, len(r.text)) for r in got) == [(0, None, 0), (1, None, 251_000), (1, None, 251_000)]
+    assert re.fullmatch(r"(word\n)+word &{1000}", max(got, key=lambda r: len(r.text)).text)

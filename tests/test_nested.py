@@ -1,0 +1,130 @@
+import json
+
+import pytest
+
+from tallyshelf.operators.nested import _parent, child_rows, discover_schema, nested_columns, quarantine, schema_text
+
+TEXTS = [
+    '{"k": 69}',
+    "{'k': 'a', 'n': [1, 2.5, {'z': null}]}",
+    '{"k": ',
+    None,
+    "[]",
+    '{"a": {"b": true, "it\'s": 1}, "k": 1.5}',
+    "{'x': None}",
+    " ",
+    "5",
+    '{"k": 1, "k": 2}',
+    "{'big': 123456789012345678901234567890, 'small': 3, 'null': null}",
+    "[{'id': 0, 'p': 'q'}, {'id': 1}]",
+]
+
+
+def frame(spark, texts=TEXTS):
+    return spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, props string").repartition(3)
+
+
+def found(spark, texts):
+    rows = discover_schema(frame(spark, texts), "props").collect()
+    return {r.path: tuple(r)[1:] for r in rows}
+
+
+def test_paths_types_and_conflicts(spark):
+    got = found(spark, TEXTS)
+    assert got["$"] == ("string", 7, 0, 3, True)
+    assert got["$.k"] == ("string", 3, 0, 3, True)
+    assert got["$.n"] == ("array", 1, 0, 1, False) and got["$.n[*]"] == ("string", 3, 0, 3, True)
+    assert got["$.n[*].z"] == ("string", 0, 1, 0, False) and got["$.null"] == ("string", 0, 1, 0, False)
+    assert got["$.a.b"] == ("boolean", 1, 0, 1, False) and got["$.a['it\\'s']"] == ("bigint", 1, 0, 1, False)
+    assert got["$.big"][0] == "decimal(38,0)" and got["$[*].id"] == ("bigint", 2, 0, 1, False)
+    assert len(got) == 14
+
+
+@pytest.mark.parametrize(
+    "values, kind, conflict",
+    [
+        (["1", "2"], "bigint", False),
+        (["1", "99999999999999999999"], "decimal(38,0)", False),
+        (["1", "1.5"], "double", False),
+        (["99999999999999999999", "1e3"], "double", False),
+        (["1", "null"], "bigint", False),
+        (["true", "1"], "string", True),
+        (["true", "false"], "boolean", False),
+        (["'a'", "1"], "string", True),
+        (["{}", "[]"], "string", True),
+        (["{}", "1"], "string", True),
+        (["null"], "string", False),
+    ],
+)
+def test_widening(spark, values, kind, conflict):
+    got = found(spark, [f'{{"v": {v}}}' for v in values])["$.v"]
+    assert (got[0], got[4]) == (kind, conflict)
+
+
+def test_merged_in_any_order_and_from_nothing(spark):
+    assert found(spark, TEXTS) == found(spark, TEXTS[::-1])
+    assert found(spark, []) == {} == found(spark, [None, "", "{"])
+
+
+def test_schema_text_reads_what_it_was_made_from(spark):
+    texts = ["{'a': {'b c': 1, 'd': [{'e': 'x'}]}, 'f': 2.5, 'g': []}", '{"a": {"b c": null}, "h`i": true}']
+    paths = discover_schema(frame(spark, texts), "props")
+    text = schema_text(paths)
+    assert text == "struct<`a`:struct<`b c`:bigint,`d`:array<struct<`e`:string>>>,`f`:double,`g`:array<string>,`h``i`:boolean>"
+    from pyspark.sql import functions as F
+
+    rows = frame(spark, texts).select("id", F.to_json(F.from_json("props", text)).alias("j")).collect()
+    assert json.loads(min(rows).j) == {"a": {"b c": 1, "d": [{"e": "x"}]}, "f": 2.5, "g": []}
+    with pytest.raises(ValueError):
+        schema_text(paths, most=3)
+
+
+@pytest.mark.parametrize(
+    "path, parent, name",
+    [("$.a", "$", "a"), ("$.a.b", "$.a", "b"), ("$['x y']", "$", "x y"), ("$.a['it\\'s']", "$.a", "it's"), ("$.a[*]", "$.a", ""),
+     ("$['a\\'][\\'b']", "$", "a'][\'b"), ("$['\\\\']['x']", "$['\\\\']", "x")],
+)
+def test_parents_of_paths(path, parent, name):
+    assert _parent(path) == (parent, name)
+
+
+def test_no_row_is_lost(spark):
+    df = frame(spark)
+    columns = {"k": ("$.k", "bigint"), "b": ("$.a.b", "boolean"), "text": ("$.k", "string")}
+    rows = {r.id: r for r in nested_columns(df, "props", columns).collect()}
+    assert {i: r.props for i, r in rows.items()} == dict(enumerate(TEXTS))
+    assert {i: r.is_parsed for i, r in rows.items()} == {
+        i: None if t in (None, " ") else i not in (2, 6, 9) for i, t in enumerate(TEXTS)
+    }
+    assert (rows[0].k, rows[0].text, rows[0].rest, rows[0].misfits) == (69, "69", None, [])
+    assert (rows[1].k, rows[1].text, rows[1].misfits) == (None, "a", ["k"])
+    assert json.loads(rows[1].rest) == {"n": [1, 2.5, {"z": None}]}
+    # A fraction is no whole number: it is not cut off.
+    assert (rows[5].k, rows[5].b, rows[5].text, rows[5].misfits) == (None, True, "1.5", ["k"])
+    assert (rows[8].rest, rows[4].rest, rows[2].rest) == ("5", "[]", None)
+    assert sorted(r.id for r in quarantine(df, "props").collect()) == [2, 6, 9]
+
+
+def test_names_may_clash(spark):
+    df = frame(spark, ['{"k": 1, "z": 2}']).selectExpr("id", "props", "1 AS value", "2 AS row", "3 AS rest", "4 AS `a.b`")
+    (row,) = nested_columns(df, "props", {"k": ("$.k", "int")}, prefix="props_").collect()
+    assert (row.value, row.row, row.rest, row["a.b"], row.k, row.props_rest) == (1, 2, 3, 4, 1, '{"z":2}')
+    for columns in ({"id": ("$.k", "int")}, {"k": ("$.k", "int")}):
+        with pytest.raises(ValueError):
+            nested_columns(df, "props", columns)
+
+
+def test_child_rows(spark):
+    texts = TEXTS + ['{"n": null}', '{"n": {"z": 7}}', '{"n": []}', "{'n': [{'z': 1}, {'z': 'x', 'y': 2}, null, [3]]}"]
+    children = child_rows(frame(spark, texts), ["id"], "props", "$.n", {"z": ("$.z", "bigint")})
+    assert sorted(tuple(r) for r in children.collect()) == [
+        (1, 0, None, "1"), (1, 1, None, "2.5"), (1, 2, None, '{"z":null}'), (13, 0, 7, '{"z":7}'), (15, 0, 1, '{"z":1}'),
+        (15, 1, None, '{"y":2,"z":"x"}'), (15, 2, None, "null"), (15, 3, None, "[3]"),
+    ]
+
+
+def test_nothing_shuffles(spark):
+    df = frame(spark).coalesce(1)
+    for made in (nested_columns(df, "props", {"k": ("$.k", "int")}), child_rows(df, ["id"], "props", "$.n", {})):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert "Aggregate" not in plan and "Join" not in plan

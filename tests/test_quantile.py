@@ -1,8 +1,11 @@
 import math
 import random
+import uuid
+from decimal import Decimal
 
 import pytest
 
+from tallyshelf.operators import quantile
 from tallyshelf.operators.quantile import exact_quantile
 
 
@@ -27,10 +30,11 @@ def test_against_sorting(spark, q, bins):
 
 
 def passes(spark, run):
-    """Jobs that ``run`` starts."""
-    spark.sparkContext.setJobGroup("counted", "")
+    """Jobs that ``run`` starts: two for each aggregate, two aggregates a pass and one before."""
+    group = f"counted-{uuid.uuid4()}"
+    spark.sparkContext.setJobGroup(group, "")
     run()
-    found = spark.sparkContext.statusTracker().getJobIdsForGroup("counted")
+    found = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
     spark.sparkContext.setJobGroup("other", "")
     return len(found)
 
@@ -93,3 +97,36 @@ def test_no_values(spark):
 def test_decimals(spark):
     df = spark.createDataFrame([(i,) for i in range(40)], "i int").selectExpr("CAST(i AS decimal(20,2)) / 4 AS x")
     assert float(exact_quantile(df, "x", 0.5, 10, 1)) == 4.75
+
+
+@pytest.mark.parametrize("scale", [2, 8, 13, 18, 37])
+def test_decimals_of_any_scale_need_few_passes(spark, scale):
+    draw, unit = random.Random(scale), Decimal(1).scaleb(-scale)
+    values = [draw.randrange(10_000_000) * unit for _ in range(3000)] + [9999 * unit] * 500
+    df = spark.createDataFrame([(v,) for v in values], f"x decimal(38,{scale})")
+    for q in (0.0, 0.13, 0.5, 1.0):
+        found = []
+        jobs = passes(spark, lambda q=q, found=found: found.append(exact_quantile(df, "x", q, 100, 100)))
+        assert found == [brute(values, q)]
+        assert jobs <= 2 * (2 + 2 * 5)
+
+
+def test_many_decimals_close_together(spark):
+    values = [Decimal(i).scaleb(-8) for i in range(1, 11_001)] + [Decimal(5), Decimal(-5)]
+    df = spark.createDataFrame([(v,) for v in values], "x decimal(20,8)")
+    assert passes(spark, lambda: exact_quantile(df, "x", 0.5)) <= 2 * (2 + 2 * 5)
+    assert exact_quantile(df, "x", 0.5) == brute(values, 0.5)
+
+
+def test_decimals_with_all_digits(spark):
+    wide = Decimal(10) ** 37
+    values = [s * (wide + i) for s in (-1, 1) for i in range(40)] + [Decimal(i) for i in range(40)]
+    df = spark.createDataFrame([(v,) for v in values], "x decimal(38,0)")
+    for q in (0.1, 0.5, 0.9):
+        assert exact_quantile(df, "x", q, 10, 1) == brute(values, q)
+
+
+def test_passes_are_limited(spark, monkeypatch):
+    monkeypatch.setattr(quantile, "MOST_PASSES", 1)
+    with pytest.raises(RuntimeError):
+        exact_quantile(frame(spark, [float(i) for i in range(5000)]), "x", 0.37, 10, 1)
