@@ -31,10 +31,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     same rows in files that all executors reach. The files stay until the caller
     discards them, as lazy results may still read them.
     """
+    table, path = written(df, name)
+    WRITTEN.append(path)
+    return table
+
+
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As ``stored``, with the folder, for a step that discards it itself."""
     path = scratch_folder(df.sparkSession, name)
     df.write.parquet(path)
-    WRITTEN.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def discard(spark: SparkSession, folders: Sequence[str]) -> None:

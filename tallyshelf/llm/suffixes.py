@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyshelf.functions.names import named
-from tallyshelf.llm.common import stored, text_or_empty
+from tallyshelf.llm.common import discard, stored, text_or_empty, written
 
 #: Bytes of text that are named at once.
 CHUNK = 1 << 18
@@ -163,26 +163,27 @@ def _sampled(windows: DataFrame, length: int, least: int, chunk: int) -> DataFra
 FOUND_NAMES = [field.split()[0] for field in FOUND.split(", ")]
 
 
-def _reranked(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(settled, open)`` of the written samples of one round.
+def _reranked(sampled: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    """``(settled, open, folders)`` of the samples of one round; they read the folders.
 
     A name that occurs once ends its windows: nothing equals them. Of the others,
     samples with equal blocks settle each other: all their windows are repeated.
     Blocks that differ under one name stay open, one sample of each; a ``partner``
     is open only to be found, its own windows are settled.
     """
+    found, path = written(sampled, "samples")
     shared = found.groupBy("name").agg(F.count("*").alias("c")).filter("c > 1").select("name")
-    close = stored(found.join(shared, "name", "left_semi"), "close")
+    close, close_path = written(found.join(shared, "name", "left_semi"), "close")
+    discard(found.sparkSession, [path])
     place = F.min(F.struct("doc", "parent", "first", "n")).alias("place")
-    classes = stored(
-        close.groupBy("name", "block").agg(F.count("*").alias("c"), F.min("partner").alias("partner"), place),
-        "classes",
-    )
+    counted = close.groupBy("name", "block").agg(F.count("*").alias("c"), F.min("partner").alias("partner"), place)
+    classes, classes_path = written(counted, "classes")
     several = classes.filter("c > 1").select("name", "block")
     settled = close.filter("NOT partner").join(several, ["name", "block"], "left_semi").select("doc", "first", "n")
     mixed = classes.groupBy("name").agg(F.count("*").alias("k")).filter("k > 1").select("name")
     left = classes.join(mixed, "name", "left_semi")
-    return settled, left.select("place.*", (F.col("partner") | (F.col("c") > 1)).alias("partner"))
+    left = left.select("place.*", (F.col("partner") | (F.col("c") > 1)).alias("partner"))
+    return settled, left, [close_path, classes_path]
 
 
 def _bytes_at(data: Column, first: Column, size: Column) -> Column:
@@ -199,29 +200,29 @@ def repeated_windows(texts: DataFrame, least: int, base: int, chunk: int = CHUNK
     # Equal texts are one here: which of them an open sample came from makes no difference.
     holders = texts.groupBy("doc").agg(F.first("data").alias("data"), F.lit(0).alias("parent"))
     settled: list[DataFrame] = []
+    cut = F.transform(
+        "parts",
+        lambda p: F.struct(
+            p["first"].alias("first"),
+            p["partner"].alias("partner"),
+            _bytes_at(F.col("data"), p["first"] - F.col("parent"), p["n"] + (least - 1)).alias("data"),
+        ),
+    )
+    held: list[str] = []
     with shuffles_removed(spark):
-        for number, length in enumerate(rounds):
-            found = stored(_sampled(windows, length, least, chunk), "samples")
-            done, left = _reranked(found)
+        for length in rounds:
+            done, left, folders = _reranked(_sampled(windows, length, least, chunk))
             settled.append(stored(done, "settled"))
-            if number + 1 == len(rounds):
-                break
-            left = left.groupBy("doc", "parent").agg(F.collect_list(F.struct("first", "n", "partner")).alias("parts"))
-            cut = F.transform(
-                "parts",
-                lambda p: F.struct(
-                    p["first"].alias("first"),
-                    p["partner"].alias("partner"),
-                    _bytes_at(F.col("data"), p["first"] - F.col("parent"), p["n"] + (least - 1)).alias("data"),
-                ),
-            )
-            windows = stored(
-                holders.join(left, ["doc", "parent"]).select("doc", F.explode(cut).alias("w")).select("doc", "w.*"),
-                "windows",
-            )
-            holders = windows.select("doc", "data", F.col("first").alias("parent"))
-            if windows.isEmpty():
+            if length < least:
+                parts = F.collect_list(F.struct("first", "n", "partner")).alias("parts")
+                nearby = holders.join(left.groupBy("doc", "parent").agg(parts), ["doc", "parent"])
+                windows, path = written(nearby.select("doc", F.explode(cut).alias("w")).select("doc", "w.*"), "windows")
+                holders = windows.select("doc", "data", F.col("first").alias("parent"))
+            # What a round has written goes when the next one's windows are there.
+            discard(spark, folders + held)
+            if length == least or windows.isEmpty():
                 break
+            held = [path]
     every = settled[0]
     for part in settled[1:]:
         every = every.unionByName(part)
