@@ -172,18 +172,24 @@ def _reranked(sampled: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
     is open only to be found, its own windows are settled.
     """
     found, path = written(sampled, "samples")
-    shared = found.groupBy("name").agg(F.count("*").alias("c")).filter("c > 1").select("name")
+    # The names are written before they are joined: the join then deals out both sides itself and
+    # can split a name that many samples have.
+    shared, shared_path = written(
+        found.groupBy("name").agg(F.count("*").alias("c")).filter("c > 1").select("name"), "names"
+    )
     close, close_path = written(found.join(shared, "name", "left_semi"), "close")
-    discard(found.sparkSession, [path])
+    discard(found.sparkSession, [path, shared_path])
     place = F.min(F.struct("doc", "parent", "first", "n")).alias("place")
     counted = close.groupBy("name", "block").agg(F.count("*").alias("c"), F.min("partner").alias("partner"), place)
     classes, classes_path = written(counted, "classes")
     several = classes.filter("c > 1").select("name", "block")
     settled = close.filter("NOT partner").join(several, ["name", "block"], "left_semi").select("doc", "first", "n")
-    mixed = classes.groupBy("name").agg(F.count("*").alias("k")).filter("k > 1").select("name")
+    mixed, mixed_path = written(
+        classes.groupBy("name").agg(F.count("*").alias("k")).filter("k > 1").select("name"), "mixed"
+    )
     left = classes.join(mixed, "name", "left_semi")
     left = left.select("place.*", (F.col("partner") | (F.col("c") > 1)).alias("partner"))
-    return settled, left, [close_path, classes_path]
+    return settled, left, [close_path, classes_path, mixed_path]
 
 
 def _bytes_at(data: Column, first: Column, size: Column) -> Column:
