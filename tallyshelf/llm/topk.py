@@ -13,80 +13,89 @@ from tallyshelf.llm.common import stored
 
 #: Candidates and queries that meet in one group.
 CANDIDATES, QUERIES = 2048, 2048
-#: Shares of a block's lists after which bounds are compared; before the first no one falls out.
-DEPTHS = (0.75, 0.85, 0.95, 1.0)
-#: Queries bounded at once.
-BATCH = 256
+#: Shares of a block's lists after which bounds are compared.
+DEPTHS = (1 / 64, 1 / 32, 1 / 16, 1 / 8, 1 / 4, 1 / 2, 5 / 8, 3 / 4, 7 / 8, 1.0)
 #: So many candidates are left for their scores to be resolved, per row wanted.
 RESOLVED = 10
 
 
 class SortedLists:
-    """One list per dimension of a block's candidates, by value, largest first.
-
-    What a reader of the lists down to some depth has seen of a candidate follows
-    from its places in them, so many queries are bounded at once by matrix products.
-    """
+    """One list per dimension of a block's candidates, by value, largest first."""
 
     def __init__(self, vectors: np.ndarray):
         self.vectors = vectors
-        order = np.argsort(-vectors, axis=0, kind="stable")
-        self.values = np.take_along_axis(vectors, order, axis=0).astype(np.float64)
-        self.place = np.empty_like(order)
-        np.put_along_axis(self.place, order, np.arange(len(vectors))[:, None], axis=0)
+        self.names = np.argsort(-vectors, axis=0, kind="stable")
+        self.values = np.take_along_axis(vectors, self.names, axis=0).astype(np.float64)
+
+    def top(self, query: np.ndarray, ids: np.ndarray, wanted: int, own: int = -1, floor: float = -np.inf):
+        """``(places, scores, read)`` of the ``wanted`` best candidates, ties to the smaller id.
+
+        The lists are read side by side, entry by entry, until no more candidates than a
+        few per row wanted can qualify; their scores are then resolved. A candidate
+        cannot qualify if its upper bound is under the ``wanted``-th best lower
+        bound, or under ``floor``, a score that so many rows elsewhere reach. Equal
+        bounds stay, for ties. ``own`` is the query's own place, -1 for none.
+        ``read`` counts the entries read.
+        """
+        reader = Reader(self, query)
+        left = np.arange(len(self.vectors))
+        left = left[left != own]
+        for share in DEPTHS if len(left) > RESOLVED * wanted else ():
+            reader.read(max(1, int(len(self.vectors) * share)))
+            lower, upper = reader.bounds(left)
+            best = np.partition(lower, len(lower) - wanted)[len(lower) - wanted]
+            left = left[upper >= max(best, floor) - reader.slack]
+            if len(left) <= RESOLVED * wanted:
+                break
+        scores = self.vectors[left] @ query
+        best = np.lexsort((ids[left], -scores))[:wanted]
+        return left[best], scores[best], reader.entries
 
-    def bounds(self, queries: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """Lower and upper bounds of all candidates' scores after ``depth`` entries of each list.
 
-        A query reads a list from its best end: the top for a positive weight, the
-        bottom for a negative one. An entry not yet read is worth no more than the
-        last one read and no less than the list's other end.
-        """
-        size = len(self.vectors)
-        weights = np.concatenate([np.maximum(queries, 0), np.minimum(queries, 0)], axis=1).T.astype(np.float64)
-        read = np.concatenate([self.place < depth, self.place >= size - depth], axis=1)
-        entries = np.where(read, np.tile(self.vectors, 2), 0.0)
-        worst = np.r_[self.values[-1], self.values[0]]
-        last = np.r_[self.values[depth - 1], self.values[size - depth]]
-        known, unread = entries @ weights, (~read).astype(np.float64)
-        return known + unread @ (worst[:, None] * weights), known + unread @ (last[:, None] * weights)
-
-    def survivors(self, queries: np.ndarray, wanted: int, own: np.ndarray | None = None) -> list[np.ndarray]:
-        """Per query the candidates that may be among the ``wanted`` best, by sorted access alone.
-
-        Those whose upper bound is under the ``wanted``-th best lower bound cannot
-        qualify. A query stops reading when few are left, whose scores are then
-        resolved. Equal bounds stay, for ties. ``own`` has the place of each query
-        among the candidates, or -1; it is no candidate of itself.
+class Reader:
+    """Sorted access to a block's lists for one query, and what it has seen of each candidate.
+
+    A list is read from the query's best end: the top for a positive weight, the
+    bottom for a negative one; lists of weight 0 are not read.
+    """
+
+    def __init__(self, lists: SortedLists, query: np.ndarray):
+        self.lists = lists
+        self.down, self.up = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
+        self.weights = query[np.r_[self.down, self.up]].astype(np.float64)
+        size = len(lists.vectors)
+        self.known = np.zeros(size)
+        self.unseen = np.ones((size, len(self.weights)))
+        self.depth = self.entries = 0
+        ends = np.abs(np.stack([self._at(0), self._at(size - 1)])) if size else np.zeros((2, len(self.weights)))
+        #: Far more than floating point can be off in a sum of all dimensions.
+        self.slack = 1e-9 * ends.max(axis=0).sum()
+
+    def _at(self, place: int) -> np.ndarray:
+        """What the entry at ``place`` of each list, from the best end on, is worth."""
+        values = self.lists.values
+        return np.r_[values[place, self.down], values[len(values) - 1 - place, self.up]] * self.weights
+
+    def read(self, depth: int) -> None:
+        """Go on to ``depth`` entries of each list."""
+        size, first = len(self.known), self.depth
+        top, bottom = slice(first, depth), slice(size - depth, size - first)
+        names, values = self.lists.names, self.lists.values
+        names = np.concatenate([names[top, self.down], names[bottom, self.up]], axis=1)
+        worth = np.concatenate([values[top, self.down], values[bottom, self.up]], axis=1) * self.weights
+        self.known += np.bincount(names.ravel(), worth.ravel(), size)
+        self.unseen[names, np.arange(len(self.weights))] = 0.0
+        self.depth, self.entries = depth, self.entries + names.size
+
+    def bounds(self, candidates: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper bounds of the candidates' scores.
+
+        An entry not yet read is worth no more than the last one read of its list and
+        no less than the list's other end.
         """
-        size = len(self.vectors)
-        own = np.full(len(queries), -1) if own is None else own
-        out = [np.delete(np.arange(size), own[i : i + 1][own[i : i + 1] >= 0]) for i in range(len(queries))]
-        if size <= RESOLVED * wanted:
-            return out
-        slack = 1e-9 * (np.abs(queries) @ np.abs(self.vectors).max(axis=0))
-        left = np.arange(len(queries))
-        for depth in (max(1, int(size * share)) for share in DEPTHS):
-            if not len(left):
-                break
-            lower, upper = self.bounds(queries[left], depth)
-            at = np.flatnonzero(own[left] >= 0)
-            lower[own[left[at]], at] = upper[own[left[at]], at] = -np.inf
-            best = np.partition(lower, size - wanted, axis=0)[size - wanted]
-            alive = upper >= best - slack[left]
-            alive[own[left[at]], at] = False
-            few = (alive.sum(axis=0) <= RESOLVED * wanted) | (depth == size)
-            for column in np.flatnonzero(few):
-                out[left[column]] = np.flatnonzero(alive[:, column])
-            left = left[~few]
-        return out
-
-    def top(self, queries: np.ndarray, ids: np.ndarray, wanted: int, own: np.ndarray | None = None):
-        """Per query ``(places, scores)`` of the best candidates, ties to the smaller id."""
-        for query, left in zip(queries, self.survivors(queries, wanted, own), strict=True):
-            scores = self.vectors[left] @ query
-            best = np.lexsort((ids[left], -scores))[:wanted]
-            yield left[best], scores[best]
+        ends = np.stack([self._at(len(self.known) - 1), self._at(self.depth - 1)], axis=1)
+        rest = self.unseen[candidates] @ ends
+        return self.known[candidates] + rest[:, 0], self.known[candidates] + rest[:, 1]
 
 
 def quantised(df: DataFrame, key: str, vector: str, scale: float) -> DataFrame:
@@ -114,7 +123,9 @@ def top_k(
     ties go to the smaller key. Candidates and queries are dealt into blocks of
     bounded size, each pair of blocks is one group: it sorts its lists once and
     reads them for its queries, without random access, until outsiders cannot qualify.
-    The groups' best rows are then ranked per query.
+    The first block of candidates is searched for all queries before the others,
+    whose reading then ends where the scores it found cannot be reached. The
+    groups' best rows are ranked per query.
 
     Vectors that are NULL or hold NULL or non-finite components, and rows with a
     NULL key, take no part. Shorter vectors count as filled up with zeros. Rows
@@ -129,17 +140,16 @@ def top_k(
     blocks, asks = max(1, -(-size // CANDIDATES)), max(1, -(-asked // QUERIES))
     salt = F.xxhash64("_row")
     rows = vectors.select("_row", "id", "v")
+    none = F.lit(None).cast("bigint")
     candidates = rows.select(
         "*",
         F.lit(False).alias("query"),
+        none.alias("floor"),
         F.pmod(salt, F.lit(blocks)).cast("int").alias("block"),
         F.explode(F.sequence(F.lit(0), F.lit(asks - 1))).alias("ask"),
     )
     queries = rows.filter(is_query).select(
-        "*",
-        F.lit(True).alias("query"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-        F.pmod(salt, F.lit(asks)).cast("int").alias("ask"),
+        "*", F.lit(True).alias("query"), F.pmod(salt, F.lit(asks)).cast("int").alias("ask")
     )
 
     def search(group: pd.DataFrame) -> pd.DataFrame:
@@ -156,19 +166,30 @@ def top_k(
 
         lists, ids, places = SortedLists(matrix(held)), held["id"].to_numpy(), held["_row"].to_numpy()
         numbers, names, wanted = asked["_row"].to_numpy(), asked["id"].to_numpy(), matrix(asked)
+        floors = asked["floor"].astype("float64").fillna(-np.inf).to_numpy()
         at = np.minimum(np.searchsorted(places, numbers), len(places) - 1)
         own = np.where(places[at] == numbers, at, -1)
         parts = []
-        for first in range(0, len(asked), BATCH):
-            part = slice(first, first + BATCH)
-            best = lists.top(wanted[part], ids, k, own[part])
-            for number, name, (place, scores) in zip(numbers[part], names[part], best, strict=True):
-                parts.append(np.stack([np.full(len(place), number), np.full(len(place), name), ids[place], scores]))
+        for number, name, query, mine, floor in zip(numbers, names, wanted, own, floors, strict=True):
+            place, scores, _ = lists.top(query, ids, k, mine, floor)
+            parts.append(np.stack([np.full(len(place), number), np.full(len(place), name), ids[place], scores]))
         return pd.DataFrame(np.concatenate(parts, axis=1).T, columns=columns)
 
-    found = candidates.unionByName(queries).groupBy("block", "ask").applyInPandas(
-        search, "query_row bigint, query_id bigint, vec_id bigint, score bigint"
-    )
+    def searched(asking: DataFrame, held: DataFrame) -> DataFrame:
+        together = held.unionByName(asking.select(*held.columns))
+        return together.groupBy("block", "ask").applyInPandas(
+            search, "query_row bigint, query_id bigint, vec_id bigint, score bigint"
+        )
+
+    head = queries.withColumns({"floor": none, "block": F.lit(0)})
+    found = searched(head, candidates.filter("block = 0"))
+    if blocks > 1:
+        found = stored(found, "first-found")
+        reached = found.groupBy("query_row").agg(F.min("score").alias("floor"), F.count("*").alias("n"))
+        floors = reached.filter(F.col("n") >= k).select(F.col("query_row").alias("_row"), "floor")
+        others = F.explode(F.sequence(F.lit(1), F.lit(blocks - 1))).alias("block")
+        tail = queries.join(floors, "_row", "left").select(*queries.columns, "floor", others)
+        found = found.unionByName(searched(tail, candidates.filter("block > 0")))
     best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best))
     return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

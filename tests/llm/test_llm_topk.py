@@ -57,35 +57,67 @@ def test_empty_table(spark):
     assert found(spark, []) == []
 
 
-def test_survivors_hold_the_best_and_are_few():
+def exact_top(block, query, ids, k, own):
+    scores = block @ query
+    best = [i for i in np.lexsort((ids, -scores)) if i != own][:k]
+    return best, scores[best].tolist()
+
+
+def test_the_best_are_found_with_and_without_a_floor():
     rng = np.random.default_rng(5)
     block = np.floor(rng.normal(size=(2000, 16)) * 40).astype(np.int64)
-    lists, ids = SortedLists(block), np.arange(2000)
-    queries = np.floor(rng.normal(size=(40, 16)) * 40).astype(np.int64)
-    own = np.array([*range(20), *[-1] * 20])
-    found = zip(queries, own, lists.survivors(queries, 5, own), lists.top(queries, ids, 5, own), strict=True)
-    for query, skip, left, (places, scores) in found:
-        exact = block @ query
-        best = [i for i in np.lexsort((ids, -exact)) if i != skip][:5]
-        assert set(best) <= set(left) and skip not in left
-        assert len(left) <= 50
-        assert places.tolist() == best and scores.tolist() == exact[best].tolist()
+    lists, ids = SortedLists(block), rng.permutation(2000)
+    for own in [*range(20), *[-1] * 20]:
+        query = np.floor(rng.normal(size=16) * 40).astype(np.int64)
+        best, scores = exact_top(block, query, ids, 5, own)
+        places, got, read = lists.top(query, ids, 5, own)
+        assert places.tolist() == best and got.tolist() == scores
+        # A floor that the fifth reaches loses nothing, and saves reading.
+        again, got, less = lists.top(query, ids, 5, own, scores[-1])
+        assert again.tolist() == best and got.tolist() == scores and less <= read
+        high, got, least = lists.top(query, ids, 5, own, scores[0] + 1)
+        assert not set(got) & set(range(scores[0] + 1, scores[0] + 10**6)) and least <= less
+
+
+def test_skewed_vectors_need_few_entries():
+    """Where few components are large the lists are read to a small depth only."""
+    rng = np.random.default_rng(8)
+    block = (np.exp(rng.normal(size=(4000, 24)) * 2.5)).astype(np.int64)
+    lists, ids = SortedLists(block), np.arange(4000)
+    read = 0
+    for _ in range(20):
+        query = np.exp(rng.normal(size=24) * 2).astype(np.int64)
+        places, scores, entries = lists.top(query, ids, 5)
+        assert (places.tolist(), scores.tolist()) == exact_top(block, query, ids, 5, -1)
+        read += entries
+    assert read < 0.35 * 20 * block.size
 
 
 def test_bounds_hold_at_every_depth():
     rng = np.random.default_rng(6)
     block = rng.integers(-9, 9, (50, 4))
-    lists, queries = SortedLists(block), rng.integers(-9, 9, (10, 4))
-    exact = block @ queries.T
-    for depth in range(1, 51):
-        lower, upper = lists.bounds(queries, depth)
-        assert (lower <= exact).all() and (exact <= upper).all()
-    assert (lower == exact).all() and (upper == exact).all()
+    lists, everyone = SortedLists(block), np.arange(50)
+    for query in rng.integers(-9, 9, (10, 4)):
+        reader, exact, width = topk.Reader(lists, query), block @ query, 100
+        for depth in range(1, 51):
+            reader.read(depth)
+            lower, upper = reader.bounds(everyone)
+            assert (lower <= exact).all() and (exact <= upper).all()
+            assert (upper - lower).max() <= width or depth == 1
+            width = (upper - lower).max()
+        assert (lower == exact).all() and (upper == exact).all()
+        assert reader.entries == 50 * np.count_nonzero(query)
 
 
 def test_query_of_zeros_and_negative_weights():
     block = np.array([[1, -2], [3, 4], [0, 0], [-5, 6]] * 30)
     lists, ids = SortedLists(block), np.arange(120)
-    queries = np.array([[0, 0], [-1, 0], [0, -3], [2, 2]])
-    for query, (places, _) in zip(queries, lists.top(queries, ids, 3), strict=True):
+    for query in np.array([[0, 0], [-1, 0], [0, -3], [2, 2]]):
+        places, _, _ = lists.top(query, ids, 3)
         assert (places == np.lexsort((ids, -(block @ query)))[:3]).all()
+
+
+def test_other_columns_may_have_any_name(spark):
+    rows = vectors(np.random.default_rng(9), 120)
+    df = spark.createDataFrame([(*r, 1, 2, 3, 4) for r in rows], SCHEMA + ", v int, query int, block int, floor int")
+    assert sorted(map(tuple, top_k(df, "vec_id", "embedding").collect())) == brute(rows)
