@@ -19,12 +19,15 @@ from pyspark.sql import functions as F
 from tallyshelf.functions.names import named
 from tallyshelf.llm.common import stored, text_or_empty
 
-#: Bytes of context; a gram is the context and the byte it predicts, oldest byte highest.
-DEPTH = 3
-#: Zero bytes stand before each text, and one ends it.
-BEFORE, END = bytes(DEPTH), b"\0"
-#: The most frequent words, which every worker holds; the counts of all others are joined.
-FREQUENT = 1 << 18
+#: Bytes of context, 2 to 5; a gram is the context and the byte it predicts, oldest byte highest.
+DEPTH = 4
+#: As many zero bytes as the context has stand before each text, and one ends it.
+END = b"\0"
+#: Bits of a gram's code; the ones above number a text among a few.
+GRAM_BITS = 48
+#: The most frequent words, which every worker holds if they have at most so many bytes each; the
+#: counts of all others are joined.
+FREQUENT, HELD_BYTES = 1 << 18, 64
 #: Up to so many grams (16 bytes each) the model goes to every worker; beyond, it is joined.
 HELD_GRAMS = 4_000_000
 #: Rows a task gathers before it hands its counts on.
@@ -33,17 +36,18 @@ SMOOTHING = 0.1
 HALF = np.log(0.5)
 
 
-def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def grams(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
     """The grams of all texts one after the other, and how many each text has."""
-    joined = np.frombuffer(b"".join(p for t in texts for p in (BEFORE, t, END)), np.uint8)
-    codes = np.zeros(max(len(joined) - DEPTH, 0), np.uint32)
-    for k in range(DEPTH + 1):
-        codes = codes << np.uint32(8) | joined[k : len(joined) - DEPTH + k]
+    before = bytes(depth)
+    joined = np.frombuffer(b"".join(p for t in texts for p in (before, t, END)), np.uint8)
+    codes = np.zeros(max(len(joined) - depth, 0), np.int64)
+    for k in range(depth + 1):
+        codes = codes << 8 | joined[k : len(joined) - depth + k]
     sizes = np.array([len(t) + 1 for t in texts], np.int64)
     keep = np.ones(len(codes), bool)
     # What predicts a byte of the zeros before the next text is no gram.
-    between = np.cumsum(sizes)[:-1] + DEPTH * np.arange(len(sizes) - 1)
-    for k in range(DEPTH):
+    between = np.cumsum(sizes)[:-1] + depth * np.arange(len(sizes) - 1)
+    for k in range(depth):
         keep[between + k] = False
     return codes[keep], sizes
 
@@ -57,7 +61,7 @@ def held_out(key: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(10)) == 0
 
 
-def counts(df: DataFrame, text: str, train: Column) -> DataFrame:
+def counts(df: DataFrame, text: str, train: Column, depth: int = DEPTH) -> DataFrame:
     """``(word, gram, n)``: training counts of words (``gram`` NULL) and grams (``word`` NULL).
 
     Grams of other texts are listed with a count of 0, as scores are needed for
@@ -66,7 +70,7 @@ def counts(df: DataFrame, text: str, train: Column) -> DataFrame:
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter[bytes] = Counter()
-        codes, sums = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        codes, sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
         def word_rows():
             size = len(found)
@@ -76,7 +80,7 @@ def counts(df: DataFrame, text: str, train: Column) -> DataFrame:
             return pa.RecordBatch.from_arrays(columns, ["word", "gram", "n"])
 
         def gram_rows():
-            columns = [pa.nulls(len(codes), pa.string()), pa.array(codes.astype(np.int64)), pa.array(sums)]
+            columns = [pa.nulls(len(codes), pa.string()), pa.array(codes), pa.array(sums)]
             return pa.RecordBatch.from_arrays(columns, ["word", "gram", "n"])
 
         for batch in batches:
@@ -87,7 +91,7 @@ def counts(df: DataFrame, text: str, train: Column) -> DataFrame:
                 for one, yes in zip(texts, use, strict=True):
                     if yes:
                         found.update(split_words(one))
-                codes_now, sizes = grams(texts)
+                codes_now, sizes = grams(texts, depth)
                 seen = np.repeat(use, sizes)
                 for part, weight in ((codes_now[seen], 1), (codes_now[~seen], 0)):
                     new, n = np.unique(part, return_counts=True)
@@ -151,24 +155,30 @@ class Nodes:
 
 def decisions(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``(prefix, bit)``, each ``(n, 8)``: the tree of each binary decision and its outcome."""
-    byte = (codes & 255).astype(np.int64)[:, None]
+    byte = (codes & 255)[:, None]
     level = np.arange(8)
     return (1 << level) | (byte >> (8 - level)), byte >> (7 - level) & 1
 
 
-def lower_tree(codes: np.ndarray, n: np.ndarray) -> tuple[Nodes, np.ndarray]:
-    """The nodes of depth 2 and the probability of each gram-bit by depths 2 and 3.
+def lower_tree(codes: np.ndarray, n: np.ndarray, depth: int = DEPTH) -> tuple[Nodes, np.ndarray]:
+    """The nodes of depth 2 and the probability of each gram-bit by all depths from 2 on.
 
     ``codes`` must hold all grams of each two latest context bytes it has.
     """
     prefix, bit = decisions(codes)
-    context = (codes >> 8).astype(np.int64)[:, None]
+    context = (codes >> 8)[:, None]
     flat, count = bit.ravel(), np.repeat(n, 8).astype(np.float64)
-    deep = Nodes((context << 8 | prefix).ravel(), flat, count)
-    middle = Nodes(((context & 0xFFFF) << 8 | prefix).ravel(), flat, count)
-    parent = np.searchsorted(middle.keys, deep.keys & 0xFFFFFF)
-    middle.weigh(np.bincount(parent, deep.weighted, len(middle.keys)))
-    return middle, middle.predict(flat, deep.predict(flat, None))
+    levels: list[Nodes] = []
+    for size in range(depth, 1, -1):
+        nodes = Nodes(((context & ((1 << 8 * size) - 1)) << 8 | prefix).ravel(), flat, count)
+        if levels:
+            parent = np.searchsorted(nodes.keys, levels[-1].keys & ((1 << 8 * (size + 1)) - 1))
+            nodes.weigh(np.bincount(parent, levels[-1].weighted, len(nodes.keys)))
+        levels.append(nodes)
+    probability = None
+    for nodes in levels:
+        probability = nodes.predict(flat, probability)
+    return levels[-1], probability
 
 
 class UpperTree:
@@ -189,7 +199,7 @@ class UpperTree:
     def log10(self, codes: np.ndarray, deeper: np.ndarray) -> np.ndarray:
         """Log10 probability of each gram's byte from the lower tree's gram-bit probabilities."""
         prefix, bit = decisions(codes)
-        key = (codes >> 8 & 255).astype(np.int64)[:, None] << 8 | prefix
+        key = (codes >> 8 & 255)[:, None] << 8 | prefix
         own = np.where(bit, self.one[key], 1 - self.one[key])
         mixed = self.share[key] * own + (1 - self.share[key]) * deeper.reshape(-1, 8)
         own = np.where(bit, self.root_one[prefix], 1 - self.root_one[prefix])
@@ -197,7 +207,7 @@ class UpperTree:
         return np.log10(share * own + (1 - share) * mixed).sum(axis=1)
 
 
-def gram_scores(counted: DataFrame) -> DataFrame:
+def gram_scores(counted: DataFrame, depth: int = DEPTH) -> DataFrame:
     """``(gram, score)``: the model's log10 probability of each gram's byte in its context.
 
     ``counted`` has ``(gram, n)``. The lower depths are computed where all grams of
@@ -213,7 +223,7 @@ def gram_scores(counted: DataFrame) -> DataFrame:
     def nodes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batches = list(batches)
         if batches:
-            middle, _ = lower_tree(*arrays(batches))
+            middle, _ = lower_tree(*arrays(batches), depth)
             columns = [middle.keys & 0xFFFF, middle.zeros, middle.ones, middle.weighted]
             names = ["node", "zeros", "ones", "below"]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
@@ -227,7 +237,7 @@ def gram_scores(counted: DataFrame) -> DataFrame:
         batches = list(batches)
         if batches:
             codes, n = arrays(batches)
-            _, deeper = lower_tree(codes, n)
+            _, deeper = lower_tree(codes, n, depth)
             columns = [pa.array(codes), pa.array(tree.log10(codes, deeper))]
             yield pa.RecordBatch.from_arrays(columns, ["gram", "score"])
 
@@ -235,11 +245,12 @@ def gram_scores(counted: DataFrame) -> DataFrame:
 
 
 def frequent_words(words: DataFrame, most: int) -> DataFrame:
-    """At most ``most`` of the rows of ``(word, n)``, those with the largest counts.
+    """At most ``most`` of the rows of ``(word, n)``, those with the largest counts, of 64 bytes at most each.
 
-    All words down to a count are taken, found from the numbers of words per
+    All such words down to a count are taken, found from the numbers of words per
     sixteenth of a power of two: a few hundred numbers on the driver, and no sort.
     """
+    words = words.filter(F.octet_length("word") <= HELD_BYTES)
     step = F.floor(F.log2("n") * 16)
     sizes = dict(words.groupBy(step.alias("step")).count().collect())
     lowest, room = None, most
@@ -256,13 +267,14 @@ def score_texts(
     key: str,
     text: str,
     *,
+    depth: int = DEPTH,
     frequent: int = FREQUENT,
     held_grams: int = HELD_GRAMS,
 ) -> DataFrame:
     """``(key, held_out, n_bytes, n_tokens, n_known, train_tokens, base_score, score)`` of every row.
 
     Learns from the rows whose key is not held out (a tenth by hash): byte grams
-    for the context-tree model, words for the smoothed word frequencies. ``score``
+    and ``depth`` bytes of context for the context-tree model, words for the smoothed word frequencies. ``score``
     is the model's log10 probability of the text and its end, ``base_score`` that
     of its words by frequency. All texts are counted and scored whole.
 
@@ -275,9 +287,11 @@ def score_texts(
     read, so that a rerun finds the same places; repeated rows stay. Without any
     training text all counts are 0. An empty table gives an empty table.
     """
+    if not 2 <= depth <= 5:
+        raise ValueError("depth must be 2 to 5")
     spark = df.sparkSession
     train = ~held_out(named(key))
-    table = stored(counts(df, text, train), "counts")
+    table = stored(counts(df, text, train, depth), "counts")
     words = table.filter("word IS NOT NULL").select("word", "n")
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     ends = df.select(train.alias("t")).filter("t").count()
@@ -289,11 +303,11 @@ def score_texts(
         dict(zip((w.encode() for w in top.column("word").to_pylist()), shares.tolist(), strict=True))
     )
     end = float(np.log10((ends + SMOOTHING) / floor)) if floor else 0.0
-    model = stored(gram_scores(table.filter("gram IS NOT NULL")), "model")
+    model = stored(gram_scores(table.filter("gram IS NOT NULL"), depth), "model")
     held = None
     if model.count() <= held_grams:
         local = model.toArrow().sort_by("gram")
-        codes = local.column("gram").to_numpy().astype(np.uint32)
+        codes = local.column("gram").to_numpy()
         held = spark.sparkContext.broadcast((codes, local.column("score").to_numpy()))
 
     names = ["row", "key", "item", "gram", "n", "n_bytes", "n_tokens", "n_known", "base", "score"]
@@ -306,7 +320,7 @@ def score_texts(
                 yield from scores(rows, texts, batch.column(2)[at : at + 500])
 
     def scores(rows, texts, keys):
-        codes, sizes = grams(texts)
+        codes, sizes = grams(texts, depth)
         begins = np.r_[0, np.cumsum(sizes)[:-1]]
         if held is not None:
             place = np.searchsorted(held.value[0], codes)
@@ -314,9 +328,8 @@ def score_texts(
         else:
             by_text = np.zeros(len(texts))
             number = np.repeat(np.arange(len(texts)), sizes)
-            pair, n = np.unique(number.astype(np.uint64) << np.uint64(32) | codes, return_counts=True)
-            of = (pair >> np.uint64(32)).astype(np.int64)
-            yield rest(rows[of], n, keys.type, gram=pair & np.uint64(0xFFFFFFFF))
+            pair, n = np.unique(number << GRAM_BITS | codes, return_counts=True)
+            yield rest(rows[pair >> GRAM_BITS], n, keys.type, gram=pair & ((1 << GRAM_BITS) - 1))
         tokens, sure, base, rare_row, rare_word, rare_n = [], [], [], [], [], []
         get = known.value.get
         for row, one in zip(rows, texts, strict=True):
@@ -344,7 +357,7 @@ def score_texts(
     def rest(rows, n, kind, *, words=None, gram=None):
         size = len(rows)
         item = pa.array(words, pa.binary()).cast(pa.string()) if words is not None else pa.nulls(size, pa.string())
-        code = pa.array(gram.astype(np.int64)) if gram is not None else pa.nulls(size, pa.int64())
+        code = pa.array(gram) if gram is not None else pa.nulls(size, pa.int64())
         columns = [pa.array(rows, pa.int64()), pa.nulls(size, kind), item, code, pa.array(n, pa.int64())]
         columns += [pa.nulls(size, pa.int64())] * 3 + [pa.nulls(size, pa.float64())] * 2
         return pa.RecordBatch.from_arrays(columns, names)

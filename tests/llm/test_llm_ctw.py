@@ -18,19 +18,18 @@ def held_out(key):
 class Tree:
     """Context-tree weighting node by node, by its definition."""
 
-    def __init__(self, texts):
-        self.counts = {}
+    def __init__(self, texts, depth=DEPTH):
+        self.counts, self.depth = {}, depth
         for text in texts:
             for context, tree, bit in self.decisions(text):
-                for depth in range(DEPTH + 1):
+                for depth in range(self.depth + 1):
                     node = self.counts.setdefault((tree, context[:depth]), [0, 0])
                     node[bit] += 1
 
-    @staticmethod
-    def decisions(text):
-        data = bytes(DEPTH) + text.encode() + b"\0"
-        for at in range(DEPTH, len(data)):
-            context = data[at - DEPTH : at][::-1]
+    def decisions(self, text):
+        data = bytes(self.depth) + text.encode() + b"\0"
+        for at in range(self.depth, len(data)):
+            context = data[at - self.depth : at][::-1]
             for level in range(8):
                 prefix = 1 << level | data[at] >> (8 - level)
                 yield context, prefix, data[at] >> (7 - level) & 1
@@ -44,7 +43,7 @@ class Tree:
         self.weighted, below = {}, Counter()
         for node in sorted(self.counts, key=lambda n: -len(n[1])):
             own = self.own[node]
-            self.weighted[node] = own if len(node[1]) == DEPTH else math.log(0.5) + np.logaddexp(own, below[node])
+            self.weighted[node] = own if len(node[1]) == self.depth else math.log(0.5) + np.logaddexp(own, below[node])
             if node[1]:
                 below[node[0], node[1][:-1]] += self.weighted[node]
 
@@ -52,11 +51,11 @@ class Tree:
         total = 0.0
         for context, tree, bit in self.decisions(text):
             p = 0.5
-            for depth in range(DEPTH, -1, -1):
+            for depth in range(self.depth, -1, -1):
                 node = (tree, context[:depth])
                 n = self.counts.get(node, [0, 0])
                 kt = (n[bit] + 0.5) / (sum(n) + 1)
-                if depth == DEPTH:
+                if depth == self.depth:
                     p = kt
                 else:
                     share = math.exp(math.log(0.5) + self.own.get(node, 0.0) - self.weighted.get(node, 0.0)) if node in self.own else 0.5
@@ -65,13 +64,13 @@ class Tree:
         return total
 
 
-def brute(rows):
+def brute(rows, depth=DEPTH):
     train = [t or "" for k, t in rows if not held_out(k)]
     split = lambda t: [*(t or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).translate(str.maketrans("\t\n\x0b\x0c\r", "     ")).split(" ")]
     tokens = lambda t: [w for w in split(t) if w] + ["\0 end"]
     count = Counter(w for t in train for w in tokens(t))
     total, distinct = sum(count.values()), len(count)
-    tree = Tree(train)
+    tree = Tree(train, depth)
     tree.prepare()
     out = []
     for key, text in rows:
@@ -88,14 +87,17 @@ def corpus(rng, n=60):
     return [*rows, (900, None), (901, ""), (902, " \n"), (None, "the of"), (5, "again the same key"), (5, "again the same key")]
 
 
-@pytest.mark.parametrize("more", [{}, {"frequent": 5}, {"held_grams": 0}, {"frequent": 3, "held_grams": 0}])
+@pytest.mark.parametrize(
+    "more",
+    [{}, {"frequent": 5}, {"held_grams": 0}, {"frequent": 3, "held_grams": 0}, {"depth": 2}, {"depth": 5}, {"depth": 5, "held_grams": 0}],
+)
 def test_scores_equal_the_definition(spark, more):
     rows = corpus(random.Random(1))
     out = score_texts(spark.createDataFrame(rows, SCHEMA), "doc_id", "text", **more).collect()
     got = sorted(
         ((r.key, r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in out), key=str
     )
-    want = brute(rows)
+    want = brute(rows, more.get("depth", DEPTH))
     assert [g[:5] for g in got] == [w[:5] for w in want]
     assert np.allclose([g[5] for g in got], [w[5] for w in want])
     assert np.allclose([g[6] for g in got], [w[6] for w in want])
@@ -126,6 +128,25 @@ def test_log_gamma():
 
 
 def test_grams_do_not_cross_texts():
-    codes, sizes = grams([b"ab", b"", b"c"])
+    codes, sizes = grams([b"ab", b"", b"c"], 3)
     assert sizes.tolist() == [3, 1, 2]
     assert [int(c) for c in codes] == [0x61, 0x6162, 0x616200, 0, 0x63, 0x6300]
+
+
+def test_long_words_long_texts_and_clashing_names(spark):
+    """Words too long to be held by every worker are joined; the score of a long text is that of its parts."""
+    rng = random.Random(6)
+    rows = [*corpus(rng, 20), (700, "y" * 5000), (701, " ".join(["y" * 5000, "z" * 65, "z" * 64]))]
+    rows.append((702, " ".join(rng.choices(["the", "of", "w1", "y" * 70], k=4000))))
+    schema = SCHEMA + ", row int, key int, item int, gram int, n int, word int"
+    out = score_texts(spark.createDataFrame([(*r, 1, 2, 3, 4, 5, 6) for r in rows], schema), "doc_id", "text").collect()
+    got = sorted(((r.key, r.n_tokens, r.n_known, r.base_score, r.score) for r in out), key=str)
+    for g, w in zip(got, brute(rows), strict=True):
+        assert (g[0], g[1], g[2]) == (w[0], w[2], w[3])
+        assert (g[3], g[4]) == (pytest.approx(w[5]), pytest.approx(w[6]))
+
+
+def test_depth_is_checked(spark):
+    for depth in (1, 6):
+        with pytest.raises(ValueError):
+            score_texts(spark.createDataFrame([], SCHEMA), "doc_id", "text", depth=depth)
