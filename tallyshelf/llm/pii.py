@@ -27,19 +27,22 @@ RUN = r"(?<![A-Za-z0-9._@/+-])[A-Za-z._@/+-]*+[0-9][A-Za-z0-9._@/+-]*+"
 SECRET = r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]{32,128}$"
 #: What an unseen identifier has at least.
 LEAST_LENGTH, LEAST_DIGITS = 6, 3
-#: Characters of context on each side that patterns are made of.
-CONTEXT = 64
+#: A context token: a word, or one mark that parts words.
+TOKEN = r"[^\x20\x09-\x0D\x22'`,;!?]+|[,;!?]"
+#: What stands for a neighbouring run, and for the two edges of a text.
+NUMBER, BEGIN, END = "0", "^", "$"
 ROUNDS, CONFIDENT, SUPPORT = 3, 0.8, 5
 
 SPANS = "array<struct<start:bigint,end:bigint,hit:string>>"
 
 
 def with_located(df: DataFrame, text: str, patterns: dict[str, str]) -> DataFrame:
-    """``df`` with a column per pattern: its matches, with hit, code points before it, texts around.
+    """``df`` with a column per pattern: its matches, with hit and code points before it.
 
     The texts between the matches come from splitting by the same pattern, so
-    that running lengths give the places. Splits are columns of their own: inside
-    the transform's function they would be computed for every match.
+    that running lengths give the places. Splits are columns of their own, called
+    ``_split_`` and the pattern's name, NULL without a match: inside the transform's
+    function they would be computed for every match.
     """
     body = df.select(
         "*",
@@ -48,41 +51,26 @@ def with_located(df: DataFrame, text: str, patterns: dict[str, str]) -> DataFram
 
     def around(name, pattern):
         split = f"_split_{name}"
-        hits = F.when(
-            F.col(split).isNotNull(), F.regexp_extract_all(named(text), F.lit(pattern), F.lit(0))
-        )
+        hits = F.when(F.col(split).isNotNull(), F.regexp_extract_all(named(text), F.lit(pattern), F.lit(0)))
         return F.transform(
-            hits,
-            lambda hit, i: F.struct(
-                hit.alias("hit"),
-                F.char_length(F.get(split, i)).alias("gap"),
-                F.right(F.get(split, i), F.lit(CONTEXT)).alias("left"),
-                F.left(F.get(split, i + 1), F.lit(CONTEXT)).alias("right"),
-            ),
+            hits, lambda hit, i: F.struct(hit.alias("hit"), F.char_length(F.get(split, i)).alias("gap"))
         )
 
-    return body.select(*map(named, df.columns), *[around(n, p).alias(n) for n, p in patterns.items()])
+    return body.select("*", *[around(n, p).alias(n) for n, p in patterns.items()])
 
 
 def placed(around: Column) -> Column:
-    """``start, end, hit, left, right`` of each of the ``located`` matches."""
-    empty = "array<struct<start:bigint,end:bigint,hit:string,left:string,right:string>>"
-    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(empty).alias("out"))
+    """``start, end, hit`` of each of the ``located`` matches."""
+    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(SPANS).alias("out"))
 
     def step(done, x):
         start = done["at"] + x["gap"]
         end = start + F.char_length(x["hit"])
-        span = F.struct(
-            start.alias("start"),
-            end.alias("end"),
-            x["hit"].alias("hit"),
-            x["left"].alias("left"),
-            x["right"].alias("right"),
-        )
+        span = F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("hit"))
         return F.struct(end.alias("at"), F.concat(done["out"], F.array(span)).alias("out"))
 
     spans = F.aggregate(around, begin, step, lambda done: done["out"])
-    return F.coalesce(spans, F.array().cast(empty))
+    return F.coalesce(spans, F.array().cast(SPANS))
 
 
 def digits(hit: Column) -> Column:
@@ -118,19 +106,65 @@ def base_spans(kind: str) -> Column:
     return F.transform(spans, lambda x: F.struct(x["start"], x["end"], x["hit"])).cast(SPANS)
 
 
-def words_of(text: Column) -> Column:
-    """Context words: lower case, digits as 0, without quotes and outer marks."""
-    plain = F.regexp_replace(F.lower(text), "[0-9]+", "0")
-    return F.regexp_extract_all(plain, F.lit(r"[^\x20\x09-\x0D\x22'`,;!?]+"), F.lit(0))
+def edge_tokens(pieces: Column) -> Column:
+    """Of each piece of text the number of its tokens, the first two, the last but one and the last.
+
+    Tokens are words, in lower case and with digits as 0, and single marks between
+    words; quotes are left out.
+    """
+
+    def edges(piece):
+        plain = F.regexp_replace(F.lower(piece), "[0-9]+", NUMBER)
+        tokens = F.regexp_extract_all(plain, F.lit(TOKEN), F.lit(0))
+        # The array as an array of one, so that it is made once.
+        return F.transform(
+            F.array(tokens),
+            lambda t: F.struct(
+                F.size(t).alias("n"),
+                F.get(t, F.lit(0)).alias("first"),
+                F.get(t, F.lit(1)).alias("then"),
+                F.get(t, F.size(t) - 2).alias("second"),
+                F.get(t, F.size(t) - 1).alias("last"),
+            ),
+        )
+
+    return F.flatten(F.transform(pieces, edges))
+
+
+def lexical_patterns(edges: Column, i: Column) -> Column:
+    """The contexts of run ``i``: the two tokens before it, and its neighbours on both sides.
+
+    ``edges`` has the pieces of the whole text between runs. A run in the way
+    counts as the token 0, and the text's edges as tokens of their own, so a run
+    between numbers, in a line of a table or alone in a text has contexts too. A
+    context of marks and numbers alone says little: it takes one token more.
+    """
+    before, after, earlier = F.get(edges, i), F.get(edges, i + 1), F.get(edges, i - 1)
+    behind = F.when(i > 0, NUMBER).otherwise(BEGIN)
+    last = F.when(before["n"] > 0, before["last"]).otherwise(behind)
+    further = F.when(i == 0, BEGIN).when(earlier["n"] > 0, earlier["last"]).when(i > 1, NUMBER).otherwise(BEGIN)
+    second = F.when(before["n"] > 1, before["second"]).when(before["n"] == 1, behind).otherwise(further)
+    ahead = F.when(after["n"] > 0, after["first"]).when(i + 2 < F.size(edges), NUMBER).otherwise(END)
+    beyond = F.get(edges, i + 2)
+    far = F.when(i + 3 < F.size(edges), NUMBER).otherwise(END)
+    behind_ahead = F.when(i + 2 >= F.size(edges), END).when(beyond["n"] > 0, beyond["first"]).otherwise(far)
+    edge = F.when(i + 2 < F.size(edges), NUMBER).otherwise(END)
+    after_next = F.when(after["n"] > 1, after["then"]).when(after["n"] == 1, edge).otherwise(behind_ahead)
+
+    def joined(kind: str, *tokens: Column) -> Column:
+        return F.concat(F.lit(kind), F.concat_ws(" ", *tokens))
+
+    gap = F.lit("_")
+    two = F.when(_wordy(second, last), joined("2:", second, last)).otherwise(joined("2:", second, last, gap, ahead))
+    both = F.when(_wordy(last, ahead), joined("b:", last, gap, ahead)).otherwise(
+        joined("b:", last, gap, ahead, after_next)
+    )
+    return F.array(two, both)
 
 
-def lexical_patterns(left: Column, right: Column) -> Column:
-    """The contexts of a run: its two words before, and its neighbours on both sides."""
-    before, after = words_of(left), words_of(right)
-    last = F.get(before, F.size(before) - 1)
-    two = F.concat(F.lit("2:"), F.get(before, F.size(before) - 2), F.lit(" "), last)
-    both = F.concat(F.lit("b:"), last, F.lit(" _ "), F.get(after, F.lit(0)))
-    return F.array_compact(F.array(two, both))
+def _wordy(*tokens: Column) -> Column:
+    """Whether one of the tokens has a letter."""
+    return F.concat(*tokens).rlike(r"[a-z]|[^\x00-\x7F]")
 
 
 def with_candidates(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
@@ -147,15 +181,16 @@ def with_candidates(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
         "_row",
         *[base_spans(kind).alias(kind) for kind in BASE],
         placed(F.col("_around")).alias("_runs"),
+        edge_tokens(F.col("_split__around")).alias("_edges"),
     )
     body = body.withColumn("_base", F.concat(*BASE))
     runs = F.transform(
         "_runs",
-        lambda x: F.struct(
+        lambda x, i: F.struct(
             x["start"].alias("start"),
             x["end"].alias("end"),
             F.lower(x["hit"]).alias("run"),
-            lexical_patterns(x["left"], x["right"]).alias("patterns"),
+            lexical_patterns(F.col("_edges"), i).alias("patterns"),
             F.exists("_base", lambda b: (b["start"] < x["end"]) & (b["end"] > x["start"])).alias("base"),
             F.lower(x["hit"]).rlike(SECRET).alias("secret"),
         ),
@@ -166,7 +201,7 @@ def with_candidates(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
         | x["secret"]
         | ((F.char_length(x["run"]) >= LEAST_LENGTH) & (F.char_length(digits(x["run"])) >= LEAST_DIGITS)),
     )
-    return body.withColumn("candidates", shaped).drop("_runs", "_base")
+    return body.withColumn("candidates", shaped).drop("_runs", "_base", "_edges")
 
 
 def trusted() -> Column:
@@ -200,7 +235,8 @@ def pattern_scores(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         near = edges.join(confident.withColumn("sure", trusted()).drop("support", "reached"), "pattern")
         err = F.when(F.col("confidence") >= 0.5, F.log(1 - F.col("confidence"))).otherwise(0.0)
         runs = near.groupBy("run").agg((1 - F.exp(F.sum(err))).alias("score"), F.max("sure").alias("reached"))
-        both = edges.join(runs, "run")
+        # Written, so that the join below deals out both sides itself and can split a run of many contexts.
+        both = edges.join(stored(runs, "runs"), "run")
         own = F.when(F.col("seed"), 1.0).otherwise(F.col("score"))
         scored = stored(both.select("pattern", "run", "seed", own.alias("score"), "reached"), "scores")
 
@@ -217,8 +253,12 @@ def find_pii(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame:
 
     NULL texts are empty and have no spans. Rows are told apart by ``_row``, so
     repeated keys and rows stay. Very long texts are read whole. An empty table
-    gives an empty table. Names beginning with ``_`` and those of the kinds are reserved.
+    gives an empty table. ``keep`` may name no column that begins with ``_`` or is called
+    like a kind or ``candidates``: that is an error.
     """
+    taken = [c for c in keep if c.startswith("_") or c in (*BASE, FOUND, "candidates")]
+    if taken:
+        raise ValueError(f"columns {taken} cannot be kept beside the spans: rename them")
     rows = stored(with_candidates(df, text, keep), "spans")
     runs = rows.select("_row", F.explode("candidates").alias("c")).select("_row", "c.*")
     linked = runs.withColumn("pattern", F.explode("patterns"))
