@@ -34,6 +34,8 @@ POOLED = "*"
 CENTRE = [f"c_{i}" for i in range(len(VECTOR))]
 COVARIANCE = [f"v_{i}_{j}" for i, j in PAIRS]
 BINS_PER_OCTAVE, BIN_RANGE = 16, 1024
+#: Parts that each group's rows are dealt into where shapes are joined.
+SALTS = 64
 
 
 def text_statistics(df: DataFrame, text: str) -> DataFrame:
@@ -181,6 +183,18 @@ def _moments(rows: DataFrame, *by: str) -> DataFrame:
     return rows.groupBy(*by).agg(F.count("*").alias("n"), *sums)
 
 
+def _beside(rows: DataFrame, shapes: DataFrame) -> DataFrame:
+    """``rows`` with the shape of their group; rows of a group without one fall away.
+
+    Every group is dealt into salts and its shape repeated for each, so the pool and
+    a hot source are no single task when the sums that follow are taken where the
+    join has put the rows.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    return salted.join(shapes.select("*", salts), ["group", "_salt"]).drop("_salt")
+
+
 def _nearest(rows: DataFrame, shapes: DataFrame) -> DataFrame:
     """Moments of the ``SHARE`` of each group's rows nearest by ``shapes``, one C-step.
 
@@ -189,7 +203,7 @@ def _nearest(rows: DataFrame, shapes: DataFrame) -> DataFrame:
     """
     far = distance()
     octave = F.floor(F.log2(F.greatest(far, F.lit(1e-9))) * BINS_PER_OCTAVE)
-    binned = rows.join(shapes.drop("n", *COVARIANCE), "group").withColumn(
+    binned = _beside(rows, shapes.drop("n", *COVARIANCE)).withColumn(
         "bin", F.least(octave, F.lit(BIN_RANGE)).cast("int")
     )
     sums = _moments(binned, "group", "bin")
@@ -215,7 +229,7 @@ def robust_shapes(rows: DataFrame, steps: int = STEPS, also: Sequence[str] = ())
     middles = [F.percentile_approx(v, 0.5, 1000).alias(f"c_{i}") for i, v in enumerate(VECTOR)]
     start = stored(every.groupBy("group").agg(F.count("*").alias("n"), *middles), "medians")
     off = [F.abs(F.col(v) - F.col(f"c_{i}")).alias(f"d_{i}") for i, v in enumerate(VECTOR)]
-    spread = every.join(start, "group").select("group", *off).groupBy("group").agg(
+    spread = _beside(every, start).select("group", *off).groupBy("group").agg(
         *[F.percentile_approx(f"d_{i}", 0.5, 1000).alias(f"m_{i}") for i in range(len(VECTOR))]
     )
     sums = [(F.col("n") * F.col(f"c_{i}")).alias(f"s_{i}") for i in range(len(VECTOR))]
@@ -224,7 +238,7 @@ def robust_shapes(rows: DataFrame, steps: int = STEPS, also: Sequence[str] = ())
         (F.col("n") * (square(i) if i == j else F.col(f"c_{i}") * F.col(f"c_{j}"))).alias(f"p_{i}_{j}")
         for i, j in PAIRS
     ]
-    shapes = _with_shape(start.join(spread, "group").select("group", "n", *sums, *products), 1.0)
+    shapes = stored(_with_shape(start.join(spread, "group").select("group", "n", *sums, *products), 1.0), "start")
     for _ in range(steps):
         shapes = stored(_with_shape(_nearest(every, shapes), CONSISTENCY), "shapes")
     return shapes
@@ -267,7 +281,7 @@ def group_shapes(sound: DataFrame) -> DataFrame:
     shapes = robust_shapes(sound, also=["language"])
     every = sound.withColumn("group", F.explode(F.array("group", "language", F.lit(POOLED))))
     for _ in range(REWEIGHTED):
-        within = every.join(shapes.drop("n"), "group").filter(distance(chance()) <= CUTOFF)
+        within = _beside(every, shapes.drop("n")).filter(distance(chance()) <= CUTOFF)
         shapes = stored(_with_shape(_moments(within, "group"), 1.0), "reweighted")
     shapes = shapes.select("group", *CENTRE, *COVARIANCE)
     sizes = stored(sound.groupBy("group", "language").agg(F.count("*").alias("n")), "sizes")
