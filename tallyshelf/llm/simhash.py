@@ -237,7 +237,8 @@ def near_duplicates(
 
     A NULL text is an empty one; texts without words have fingerprint 0 and are
     linked like any other. NULL keys have a row; a component of NULL keys alone
-    has NULL. Repeated keys and rows stay. An empty table gives an empty table.
+    has NULL. Repeated keys and rows stay. Very long texts are hashed whole. An empty
+    table gives an empty table. Other columns are left out.
     """
     hashed = stored(fingerprints(df, key, text, words), "fingerprints")
     distinct = hashed.groupBy("fingerprint").agg(F.min("key").alias("least"))
@@ -246,6 +247,8 @@ def near_duplicates(
     placed = distinct.join(groups, F.col("fingerprint") == F.col("node"), "left").select(
         "fingerprint", "least", F.coalesce("component", "fingerprint").alias("group")
     )
-    smallest = placed.groupBy("group").agg(F.min("least").alias("component"))
+    # Both are written, so that the join deals out its sides itself and can split a large component.
+    placed = stored(placed, "placed")
+    smallest = stored(placed.groupBy("group").agg(F.min("least").alias("component")), "smallest")
     named_groups = placed.join(smallest, "group").select("fingerprint", "component")
     return hashed.join(named_groups, "fingerprint").select("key", "fingerprint", "component")

@@ -155,3 +155,28 @@ def test_components_of_chains_and_stars(spark):
     assert len({out[i] for i in range(201)}) == 1
     assert len({out[1000 + i] for i in range(300)}) == 1
     assert out[0] != out[1000] and 5000 not in out
+
+
+def test_one_large_component(spark):
+    """Hundreds of texts that differ in a word are one component, copies and far texts beside it."""
+    rng = random.Random(12)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 8))) for _ in range(400)]
+    rows = []
+    for i in range(300):
+        near = list(words)
+        near[rng.randrange(400)] = f"x{i}"
+        rows.append((i, " ".join(near)))
+    rows += [(1000 + i, rows[0][1]) for i in range(50)]
+    rows += [(2000 + i, " ".join(rng.choices("klmnop", k=60))) for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {r.key: r.component for r in near_duplicates(df, "doc_id", "text").collect()}
+    want = dict(zip([k for k, _ in rows], brute_components([brute_fingerprint(t) for _, t in rows], [k for k, _ in rows]), strict=True))
+    assert got == want and sum(c == 0 for c in got.values()) > 250
+
+
+def test_other_columns_may_have_any_name(spark):
+    rows = [(i, f"some words of text number {i % 3} and a few more of them") for i in range(12)]
+    schema = "doc_id bigint, text string, key int, fingerprint int, component int, node int, least int"
+    plain = near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), "doc_id", "text")
+    other = near_duplicates(spark.createDataFrame([(*r, 1, 2, 3, 4, 5) for r in rows], schema), "doc_id", "text")
+    assert sorted(other.collect()) == sorted(plain.collect())
