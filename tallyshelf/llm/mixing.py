@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +43,6 @@ def source_targets(sized: DataFrame, weights: Sequence[float], most: float) -> D
         F.sum("source_size").over(everything) - F.coalesce(F.sum("room").over(before), F.lit(0.0))
     ) / (F.sum("w").over(everything) - F.coalesce(F.sum("w").over(before), F.lit(0.0)))
     levelled = weighted.withColumn("level", level)
-    levelled = weighted.withColumn("level", level)
     over = F.col("room") > F.col("level") * F.col("w")
     upto = by_room.rowsBetween(Window.unboundedPreceding, 0)
     # The first source that stays under its limit fixes the level for itself and all after it.
@@ -95,7 +95,8 @@ def schedule(sources: DataFrame) -> DataFrame:
     part of the circle by cumulative weight. Point i of the sequence is the i-th
     multiple of the golden ratio on the circle; the source whose part it falls in
     gets the slot. A source's slots beyond its need fall away; those that the
-    sequence did not reach (a few, by its low discrepancy) come at the end.
+    sequence did not reach (a few, by its low discrepancy) come at the end, the
+    lowest slots first.
     """
     spark = sources.sparkSession
     total = sources.agg(F.coalesce(F.sum("need"), F.lit(0))).first()[0]
@@ -113,10 +114,10 @@ def schedule(sources: DataFrame) -> DataFrame:
     got = ranked.groupBy("source_id").agg(F.count("*").alias("got"))
     short = sources.join(got, "source_id", "left").withColumn("got", F.coalesce("got", F.lit(0)))
     rest = short.filter("got < need").select(
-        "source_id",
-        F.explode(F.sequence(F.col("got").cast("bigint"), F.col("need") - 1)).alias("slot"),
-        F.lit(total).cast("bigint").alias("position"),
+        "source_id", F.explode(F.sequence(F.col("got").cast("bigint"), F.col("need") - 1)).alias("slot")
     )
+    late = F.row_number().over(Window.orderBy("slot", "source_id")) - 1
+    rest = rest.withColumn("position", (late + F.lit(total)).cast("bigint"))
     return kept.unionByName(rest)
 
 
@@ -138,12 +139,15 @@ def mix_sources(
     source take its blocks in turn until its target is reached. ``blocks`` has
     ``(source_id, slot, position, epoch, first, end)``: the tokens of the source's
     stream that each slot takes, in order of ``position`` over all sources.
-    ``documents`` has ``key, source, size, source_size, target, taken``; ``taken``
-    counts tokens, repeats included.
+    ``documents`` has ``key, source, size, source_size, target, taken, positions``;
+    ``taken`` counts tokens, repeats included, and ``positions`` has for each pass
+    over the source that reaches the document the position of the slot that begins
+    it: in this order the documents make up the mix, and any first part of it is
+    close to the weights. Documents of size 0 and those never reached have none.
 
     NULL sizes count as 0, a NULL source is a source of its own, NULL keys are
     allowed. Rows equal in all three columns are interchangeable; they stay in one
-    bucket of the shuffle. Other columns are left out. An empty table gives empty
+    bucket of the shuffle. Ties of the shuffle's hash go by key, then size. Other columns are left out. An empty table gives empty
     tables. A source takes its target rounded to whole tokens.
     """
     sized = stored(
@@ -175,7 +179,7 @@ def mix_sources(
     named_sources = sources.select("source_id", F.col("source").alias("_source"), "source_size", "target", "width")
     by_source = sized.join(named_sources, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     streamed = shuffled_stream(by_source, F.col("key"), seed)
-    return _taken(streamed, blocks), blocks
+    return _taken(streamed, blocks, ceil(most)), blocks
 
 
 def _blocks(slots: DataFrame, sources: DataFrame) -> DataFrame:
@@ -198,8 +202,8 @@ def _blocks(slots: DataFrame, sources: DataFrame) -> DataFrame:
     )
 
 
-def _taken(streamed: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Tokens of each document in all blocks, joined by the cells of one width that both meet."""
+def _taken(streamed: DataFrame, blocks: DataFrame, epochs: int) -> DataFrame:
+    """Tokens of each document in all blocks, joined by the cells of one width that both meet, and where they begin."""
     columns = ["key", "source", "size", "source_size", "target"]
 
     def by_cell(frame, first, end):
@@ -207,7 +211,9 @@ def _taken(streamed: DataFrame, blocks: DataFrame) -> DataFrame:
         return frame.withColumn("cell", F.explode(F.sequence(low, high)))
 
     streamed = streamed.withColumn("finish", F.col("begin") + F.col("size"))
-    cut = by_cell(blocks, "first", "end").select("source_id", "cell", "first", "end", "width")
+    cut = by_cell(blocks, "first", "end").select(
+        "source_id", "cell", "first", "end", "width", "epoch", "position"
+    )
     # A block that meets two cells is cut at the cell's edge, so that each token counts once.
     edge = F.col("cell") * F.col("width")
     cut = cut.select(
@@ -215,6 +221,8 @@ def _taken(streamed: DataFrame, blocks: DataFrame) -> DataFrame:
         "cell",
         F.greatest("first", edge).alias("first"),
         F.least("end", edge + F.col("width")).alias("end"),
+        "epoch",
+        "position",
     )
     filled = by_cell(streamed.filter("size > 0"), "begin", "finish")
     common = F.least("end", "finish") - F.greatest("first", "begin")
@@ -222,8 +230,15 @@ def _taken(streamed: DataFrame, blocks: DataFrame) -> DataFrame:
     sums = (
         filled.join(cut, ["source_id", "cell"], "left")
         .groupBy("source_id", "begin", *columns)
-        .agg(F.coalesce(F.sum(shared), F.lit(0)).alias("taken"))
-        .select(*columns, "taken")
+        .agg(
+            F.coalesce(F.sum(shared), F.lit(0)).alias("taken"),
+            # A pass takes its slots in their order, so the first one has the least position.
+            F.array_compact(
+                F.array(*[F.min(F.when((shared > 0) & (F.col("epoch") == e), F.col("position"))) for e in range(epochs)])
+            ).alias("positions"),
+        )
+        .select(*columns, "taken", "positions")
     )
-    empty = streamed.filter("size = 0").select(*columns, F.lit(0).cast("bigint").alias("taken"))
+    none = F.array().cast("array<bigint>").alias("positions")
+    empty = streamed.filter("size = 0").select(*columns, F.lit(0).cast("bigint").alias("taken"), none)
     return sums.unionByName(empty)

@@ -22,13 +22,39 @@ WITH sized AS (
          (sum(s.size) OVER (PARTITION BY s.source ORDER BY md5(coalesce(s.doc_id::VARCHAR, '') || ':mix'), s.doc_id, s.size
                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - s.size)::BIGINT AS begin
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+), spread AS (
+  SELECT source, source_size, target, floor(target + 0.5)::BIGINT AS quota,
+         row_number() OVER (ORDER BY source NULLS LAST) AS source_id,
+         greatest(1, ceil(sum(source_size) OVER () / 65536))::BIGINT AS width,
+         CASE WHEN sum(target) OVER () > 0 THEN
+           least(round(sum(target) OVER (ORDER BY source NULLS LAST ROWS UNBOUNDED PRECEDING) / sum(target) OVER () * 4294967296), 4294967296)::BIGINT
+         ELSE 0 END AS high
+  FROM targets
+), parts AS (
+  SELECT *, ceil(quota / width)::BIGINT AS need, coalesce(lag(high) OVER (ORDER BY source_id), 0) AS low FROM spread
+), total AS (
+  SELECT coalesce(sum(need), 0)::BIGINT AS slots FROM parts
+), drawn AS (
+  SELECT source_id, need, i AS position, row_number() OVER (PARTITION BY source_id ORDER BY i) - 1 AS slot
+  FROM (SELECT unnest(range(slots)) AS i FROM total) JOIN parts
+    ON (i * 2654435769) % 4294967296 >= low AND (i * 2654435769) % 4294967296 < high
+), late AS (
+  SELECT source_id, slot, slots + row_number() OVER (ORDER BY slot, source_id) - 1 AS position
+  FROM (SELECT p.source_id, unnest(range((SELECT count(*) FROM drawn d WHERE d.source_id = p.source_id), need)) AS slot FROM parts p), total
+), placed AS (
+  SELECT source_id, slot, position FROM drawn WHERE slot < need
+  UNION ALL SELECT source_id, slot, position FROM late
 )
-SELECT doc_id, size, source_size, target,
-       (greatest(0, least(begin + size, quota) - begin)
-        + greatest(0, least(begin + size, quota - source_size) - begin)
-        + greatest(0, least(begin + size, quota - 2 * source_size) - begin))::BIGINT AS taken,
-       source
-FROM streamed
+SELECT doc_id, size, s.source_size, s.target,
+       (greatest(0, least(begin + size, s.quota) - begin)
+        + greatest(0, least(begin + size, s.quota - s.source_size) - begin)
+        + greatest(0, least(begin + size, s.quota - 2 * s.source_size) - begin))::BIGINT AS taken,
+       s.source,
+       CASE WHEN size > 0 AND begin < s.quota THEN position END::BIGINT AS first_position,
+       CASE WHEN size > 0 THEN (begin < s.quota)::INT + (begin + s.source_size < s.quota)::INT
+         + (begin + 2 * s.source_size < s.quota)::INT ELSE 0 END AS passes
+FROM streamed s JOIN parts p ON s.source IS NOT DISTINCT FROM p.source
+LEFT JOIN placed l ON l.source_id = p.source_id AND l.slot = begin // width
 """
 
 TOP_K = r"""

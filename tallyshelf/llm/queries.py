@@ -143,7 +143,14 @@ def mix_documents(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select("doc_id", "source", words.alias("size"))
     mixed, _ = mix_sources(rows, "doc_id", "source", "size", WEIGHTS)
     return mixed.select(
-        F.col("key").alias("doc_id"), "size", "source_size", "target", "taken", "source"
+        F.col("key").alias("doc_id"),
+        "size",
+        "source_size",
+        "target",
+        "taken",
+        "source",
+        F.get("positions", F.lit(0)).alias("first_position"),
+        F.size("positions").alias("passes"),
     )
 
 

@@ -77,3 +77,43 @@ def test_empty_and_wordless_tables(spark):
     assert mixed(spark, [])[0] == []
     out, _ = mixed(spark, [(1, "a", 0), (None, None, None)])
     assert [(r.taken, r.target) for r in out] == [(0, 0.0), (0, 0.0)]
+
+
+def prefix_gap(rows, shares):
+    """How far, in tokens, the first part of the mix by ``positions`` is from the shares, at worst."""
+    order = sorted((p, r.source, r.size) for r in rows for p in r.positions)
+    got, done, worst = defaultdict(int), 0, 0.0
+    for _, source, size in order:
+        got[source] += size
+        done += size
+        worst = max(worst, *(abs(got[s] - share * done) for s, share in shares.items()))
+    return worst
+
+
+def test_any_first_part_of_the_mix_is_close_to_the_weights(spark):
+    rows = [(i, f"s{i % 3}", 10) for i in range(3000)]
+    out, _ = mixed(spark, rows, slots=600)
+    shares = {"s0": 5 / 8, "s1": 2 / 8, "s2": 1 / 8}
+    # Four slots of 50 tokens, and what a document reaches over its last slot.
+    assert prefix_gap(out, shares) <= 5 * 50
+    plain = [r.asDict() | {"positions": [r.key]} for r in out]
+    assert prefix_gap([type(out[0])(**r) for r in plain], shares) > 5 * 50
+
+
+def test_positions_follow_the_blocks(spark):
+    rows = [(i, f"s{i % 4}", 1 + i % 9) for i in range(400)] + [(900, "s0", 0), (901, None, 3)]
+    out, blocks = mixed(spark, rows, slots=40)
+    taken = [r for r in out if r.taken]
+    assert all(r.positions == sorted(r.positions) and len(r.positions) == -(-r.taken // r.size) for r in taken)
+    assert all(r.positions == [] for r in out if not r.taken)
+    assert {p for r in out for p in r.positions} <= {r.position for r in blocks.collect()}
+    where = blocks.groupBy("position").agg(F.count_distinct("source_id").alias("n"))
+    assert where.filter("n > 1").count() == 0
+
+
+def test_other_columns_may_have_any_name(spark):
+    schema = SCHEMA + ", key int, slot int, begin int, target int, position int"
+    rows = [(i, f"s{i % 3}", 4, 1, 2, 3, 4, 5) for i in range(50)]
+    documents, _ = mix_sources(spark.createDataFrame(rows, schema), "doc_id", "source", "size")
+    plain, _ = mixed(spark, [r[:3] for r in rows])
+    assert sorted(documents.collect()) == sorted(plain)
