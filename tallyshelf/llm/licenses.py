@@ -6,6 +6,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 from difflib import SequenceMatcher
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -237,6 +238,12 @@ class LicenceScanner:
 #: No match is longer than the longest notice.
 LONGEST = max(len(words(text.encode())) for group in NOTICES.values() for text in group)
 
+@cache
+def _scanner(notices: tuple, phrases: tuple) -> LicenceScanner:
+    """One scanner a worker process, for all its tasks."""
+    return LicenceScanner(dict(notices), dict(phrases))
+
+
 FIELDS = (
     "n_words bigint, base array<struct<word:bigint,label:string>>,"
     " spans array<struct<first:bigint,end:bigint,label:string,share:double>>"
@@ -258,11 +265,12 @@ def scan_licenses(
     notice has end a match at once. The automaton is small and goes to the workers with the code.
 
     NULL texts count as empty, with no words and empty lists. Very long texts are
-    streamed whole. Repeated rows and NULL keys stay, other columns are left out.
+    streamed whole. Repeated rows and NULL keys stay, other columns are left out. An
+    empty table gives an empty table.
     """
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = LicenceScanner(notices, phrases)
+        scanner = _scanner(tuple((k, tuple(v)) for k, v in notices.items()), tuple(phrases.items()))
         place = pa.struct([("word", pa.int64()), ("label", pa.string())])
         span = pa.struct(
             [("first", pa.int64()), ("end", pa.int64()), ("label", pa.string()), ("share", pa.float64())]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import json
 import os
 import re
 import struct
@@ -27,6 +28,11 @@ REMEMBERED, LONG_WORD = 600_000, 64
 LATIN = re.compile(
     "'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^a-z0-9ªµºß-öø-ÿ²³¹¼-¾]+"
 )
+#: The normaliser and the cut of the tokenizers whose words are encoded one by one.
+BY_WORD = (
+    [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+    r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
+)
 #: Rank ranges are looked up by length * 2^RANK_BITS + rank.
 RANK_BITS = 48
 
@@ -40,8 +46,8 @@ def packed(ids: list[int]) -> bytes:
 class WordTokens:
     """Token ids of a text as little-endian unsigned 32-bit bytes.
 
-    For the word tokenizer, which lower-cases, drops white space and never joins
-    across it: the ids of a text are those of its words one after the other, and
+    A tokenizer is asked for the whole text, unless its file says that it lower-cases, drops white space and never joins
+    across it. Then the ids of a text are those of its words one after the other, and
     those of a plain word are those of its parts, so each frequent word and part is
     encoded once. Words with other than printable Latin-1 characters, or with what
     could be a special token, are encoded whole.
@@ -51,6 +57,8 @@ class WordTokens:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            self.by_word = cuts_by_word(json.load(file))
         self.model = self.tokenizer.model
         self.byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.words: dict[str, bytes] = {"": b""}
@@ -82,6 +90,8 @@ class WordTokens:
         return ids
 
     def __call__(self, text: str) -> bytes:
+        if not self.by_word:
+            return self.encode([text])[0]
         words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         known = self.words
         found = list(map(known.get, words))
@@ -95,6 +105,21 @@ class WordTokens:
         return b"".join(found)
 
 
+def cuts_by_word(spec: dict) -> bool:
+    """Whether a tokenizer's file says that its normaliser and its cut are those that ``LATIN`` follows."""
+    normaliser, cut = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
+    parts = cut.get("pretokenizers") or [{}]
+    split = parts[0].get("behavior") == "Removed" and parts[0].get("invert") is True
+    rest = [(p.get("type"), p.get("add_prefix_space"), p.get("use_regex")) for p in parts[1:]]
+    pattern = (parts[0].get("pattern") or {}).get("Regex")
+    return (
+        (normaliser.get("normalizers"), pattern) == BY_WORD
+        and split
+        and rest == [("ByteLevel", False, False)]
+        and all(t.get("special") and t.get("content", "").startswith("<|") for t in spec.get("added_tokens") or [])
+    )
+
+
 @cache
 def word_tokens(path: str) -> WordTokens:
     """One encoder a worker process, for all its tasks."""

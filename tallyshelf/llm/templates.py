@@ -9,6 +9,8 @@ reach anything but its own variables.
     {% if m.role == 'assistant' %}{% generation %}{{ m.text | safe }}{% endgeneration %}
     {% else %}{{ m.text | safe }}{% endif %}<|end|>{% endfor %}
 
+A block with a minus at an end, as in ``{%- if a -%}``, takes the white space there away.
+
 Expressions: strings, numbers, ``true false none``, names, ``a.b``, ``a[b]``,
 ``not and or == != < <= > >= in + ~``, parentheses, ``a if b else c`` and filters.
 ``loop`` has ``index index0 first last`` and ``previous``.
@@ -93,7 +95,10 @@ class Generation(NamedTuple):
     body: tuple
 
 
-BLOCK = re.compile(r"\{%-?\s*(.*?)\s*-?%\}|\{\{-?\s*(.*?)\s*-?\}\}|\{#.*?#\}", re.S)
+OPEN = re.compile(r"\{(?:%-?|\{-?|#)")
+#: What a block is made of up to its end: strings, which may hold anything, and single characters.
+INSIDE = re.compile(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|.", re.S)
+CLOSE = {"%": re.compile(r"-?%\}"), "{": re.compile(r"-?\}\}")}
 TOKEN = re.compile(
     r"\s*(?:(?P<number>\d+)|(?P<string>'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")"
     r"|(?P<name>[A-Za-z_]\w*)|(?P<mark>==|!=|<=|>=|[.\[\]()|+~<>]))"
@@ -195,24 +200,55 @@ class Parser:
         raise TemplateError(f"an expression is missing at {text!r}")
 
 
+def blocks(source: str) -> Iterator[tuple[str, str, str]]:
+    """``(text before, kind, inside)`` of each block; the last has the kind end. Comments fall away.
+
+    A block ends at the first closing mark outside its strings.
+    """
+    at, text = 0, ""
+    while match := OPEN.search(source, at):
+        text += source[at : match.start()]
+        kind = match[0][1]
+        if match[0].endswith("-"):
+            text = text.rstrip()
+        if kind == "#":
+            end = source.find("#}", match.end())
+            if end < 0:
+                raise TemplateError("a comment is not closed")
+            at = end + 2
+            continue
+        end = match.end()
+        while not (close := CLOSE[kind].match(source, end)):
+            piece = INSIDE.match(source, end)
+            if not piece:
+                raise TemplateError(f"{source[match.start() : match.start() + 20]!r} is not closed")
+            end = piece.end()
+        yield text, kind, source[match.end() : end].strip()
+        at, text = close.end(), ""
+        if close[0].startswith("-"):
+            at += len(source[at:]) - len(source[at:].lstrip())
+    yield text + source[at:], "end", ""
+
+
 def parse(source: str) -> tuple:
     """The template's syntax tree."""
     # Each open block: its kind, its head, its finished branches, and the branch being read.
     stack: list[list] = [["", None, [], []]]
-    at = 0
-    for match in BLOCK.finditer(source):
-        _text(stack, source[at : match.start()])
-        at = match.end()
-        if match[2] is not None:
-            stack[-1][3].append(Print(Parser(match[2]).whole()))
-        elif match[1] is not None:
-            _statement(stack, match[1])
-    _text(stack, source[at:])
+    for text, kind, inside in blocks(source):
+        _text(stack, text)
+        if kind == "{":
+            stack[-1][3].append(Print(Parser(inside).whole()))
+        elif kind == "%":
+            _statement(stack, inside)
     if len(stack) > 1:
         raise TemplateError(f"{stack[-1][0]} is not closed")
     return tuple(stack[0][3])
 
 
+#: The head of an if's last branch.
+ELSE = Const(True)
+
+
 def _text(stack: list[list], text: str) -> None:
     if text:
         stack[-1][3].append(Text(text))
@@ -229,8 +265,10 @@ def _statement(stack: list[list], source: str) -> None:
     elif word in ("if", "generation"):
         stack.append([word, Parser(rest).whole() if word == "if" else None, [], []])
     elif word in ("elif", "else") and top[0] == "if":
+        if top[1] is ELSE:
+            raise TemplateError(f"{word!r} after the else of an if")
         top[2].append((top[1], tuple(top[3])))
-        top[1], top[3] = (Parser(rest).whole() if word == "elif" else Const(True)), []
+        top[1], top[3] = (Parser(rest).whole() if word == "elif" else ELSE), []
     elif word == "set":
         name, found, value = rest.partition("=")
         if not found:
@@ -333,7 +371,16 @@ def expression(tree: Any, filters: Mapping[str, Callable[[str], str]]) -> Callab
     if tree.op == "or":
         return lambda scope: left(scope) or right(scope)
     operation = OPERATIONS[tree.op]
-    return lambda scope: operation(left(scope), right(scope))
+
+    def operate(scope: Scope) -> Any:
+        one, other = left(scope), right(scope)
+        try:
+            return operation(one, other)
+        except TypeError:
+            kinds = f"{type(one).__name__} {tree.op} {type(other).__name__}"
+            raise TemplateError(f"{kinds} has no meaning") from None
+
+    return operate
 
 
 Render = Callable[[Scope, bool], Iterator[Fragment]]

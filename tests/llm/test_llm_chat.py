@@ -140,3 +140,37 @@ def test_loops_are_lazy():
 
     fragments = Template("{% for m in messages %}{{ m.text }};{% endfor %}").render(messages=endless())
     assert "".join(next(fragments)[0] for _ in range(6)) == "0;1;2;"
+
+
+def test_minus_marks_take_white_space_away():
+    assert Template("a  {%- if x -%}  b  {%- endif -%}  c {{- 1 -}}\n d").text(x=True) == "abc1d"
+    assert Template("a  {%- if x -%}  b  {%- endif %}  c").text(x=False) == "a  c"
+    assert Template("a {# gone #} b {#- gone #}").text() == "a  b "
+
+
+def test_a_block_ends_outside_its_strings():
+    assert Template("{{ '}}' }}{{ \"%}\" ~ '{{' }}{% if '%}' == x %}y{% endif %}").text(x="%}") == "}}%}{{y"
+    assert Template(r"{{ 'it\'s }}' }}").text() == "it's }}"
+
+
+@pytest.mark.parametrize(
+    "source",
+    ["{% if a %}x{% else %}y{% else %}z{% endif %}", "{% if a %}x{% else %}y{% elif b %}z{% endif %}", "{{ a", "{% if a", "{# a", "{{ 'a }}"],
+)
+def test_faults_that_would_lose_text_are_refused(source):
+    with pytest.raises(TemplateError):
+        Template(source)
+
+
+@pytest.mark.parametrize("source", ["{{ 1 + 'a' }}", "{{ x < 3 }}", "{{ 3 in 4 }}", "{{ x + 'b' }}"])
+def test_operations_without_meaning_are_template_errors(source):
+    with pytest.raises(TemplateError):
+        Template(source).text()
+
+
+def test_other_columns_may_have_any_name(spark):
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (2, 0, "user", None)]
+    schema = SCHEMA + ", conversation int, role_text int, piece int, fragments int"
+    df = spark.createDataFrame([(*r, 1, 2, 3, 4) for r in rows], schema)
+    formatted = format_conversations(df, "conv_id", "turn", "role", "text")
+    assert {r.conversation: tuple(r)[1:5] for r in read_back(formatted).collect()} == read(spark, rows)

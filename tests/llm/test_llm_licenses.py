@@ -127,3 +127,10 @@ def test_notices_close_to_one_another_are_all_found():
         found = scanner.spans(scanner.numbers([*one, *[b"other"] * 3, *one, *one]))
         n = len(one)
         assert found == [(k, k + n, label, 1.0) for k in (0, n + 3, 2 * n + 3)]
+
+
+def test_empty_table_and_other_columns_of_any_name(spark):
+    assert scan(spark, []) == {}
+    schema = "doc_id int, text string, key int, base int, spans int, n_words int"
+    frame = spark.createDataFrame([(i, t, 1, 2, 3, 4) for i, t in enumerate(TEXTS)], schema)
+    assert {r.key: r for r in scan_licenses(frame, "doc_id", "text").collect()} == scan(spark, TEXTS)

@@ -2,7 +2,7 @@ from collections import Counter
 
 import pytest
 
-from tallyshelf.llm.sharding import assign_arcs, ring, shard_rows
+from tallyshelf.llm.sharding import assign_arcs, ring, ring_place, shard_rows
 
 
 def shards(spark, rows, n=5, schema="doc_id bigint, size bigint"):
@@ -64,3 +64,44 @@ def test_overflow_goes_clockwise():
     nodes = [(10, 0), (20, 1), (30, 2)]
     out = assign_arcs(nodes, {0: 6, 1: 0, 2: 0}, 3)
     assert out == [(0, 0, 2, 0, 0), (0, 2, 4, 1, 0), (0, 4, 6, 2, 0)]
+
+
+def one_by_one(homes, nodes, shards):
+    """Rows per arc and shard, each row placed on its own: home first, then clockwise to a shard with room.
+
+    ``homes`` lists each row's arc. Shards that more rows call home have the larger capacities.
+    """
+    home = Counter(nodes[arc][1] for arc in homes)
+    least, more = divmod(len(homes), shards)
+    larger = sorted(range(shards), key=lambda s: (-home[s], s))[:more]
+    room = {s: least + (s in larger) for s in range(shards)}
+    out, left = Counter(), []
+    for arc in sorted(homes):
+        shard = nodes[arc][1]
+        if room[shard]:
+            room[shard] -= 1
+            out[arc, shard] += 1
+        else:
+            left.append(arc)
+    for arc in left:
+        at = arc
+        while not room[nodes[at][1]]:
+            at = (at + 1) % len(nodes)
+        room[nodes[at][1]] -= 1
+        out[arc, nodes[at][1]] += 1
+    return out
+
+
+@pytest.mark.parametrize("size, shards_n", [(1, 3), (40, 7), (700, 5)])
+def test_equal_to_placing_row_by_row(spark, size, shards_n):
+    rows = [(i % 150 if i % 3 else 7, i) for i in range(size)]
+    df = spark.createDataFrame(rows, "doc_id bigint, size bigint")
+    nodes = ring(spark, shards_n, 16)
+    places = {r.doc_id: r.place for r in df.select("doc_id", ring_place("doc_id").alias("place")).collect()}
+
+    def arc(key):
+        return next((i for i, (place, _) in enumerate(nodes) if places[key] <= place), 0)
+
+    out = shard_rows(df, "doc_id", shards_n, vnodes=16).collect()
+    assert Counter((arc(r.doc_id), r.shard) for r in out) == one_by_one([arc(k) for k, _ in rows], nodes, shards_n)
+    assert sorted((r.doc_id, r.size) for r in out) == sorted(rows)
