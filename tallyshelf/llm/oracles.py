@@ -50,7 +50,7 @@ SELECT doc_id, size, s.source_size, s.target,
         + greatest(0, least(begin + size, s.quota - s.source_size) - begin)
         + greatest(0, least(begin + size, s.quota - 2 * s.source_size) - begin))::BIGINT AS taken,
        s.source,
-       CASE WHEN size > 0 AND begin < s.quota THEN position END::BIGINT AS first_position,
+       CASE WHEN size > 0 AND begin < s.quota THEN position ELSE -1 END::BIGINT AS first_position,
        CASE WHEN size > 0 THEN (begin < s.quota)::INT + (begin + s.source_size < s.quota)::INT
          + (begin + 2 * s.source_size < s.quota)::INT ELSE 0 END AS passes
 FROM streamed s JOIN parts p ON s.source IS NOT DISTINCT FROM p.source

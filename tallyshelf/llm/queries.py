@@ -138,7 +138,10 @@ def score_documents(spark, sf_dir):
 
 
 def mix_documents(spark, sf_dir):
-    """All documents mixed by source, weights 5, 2, 1 in turn, at most three passes over a source."""
+    """All documents mixed by source, weights 5, 2, 1 in turn, at most three passes over a source.
+
+    ``first_position`` is a document's place in the mix's order, -1 if the mix never reaches it.
+    """
     words = F.regexp_count(text_or_empty("text"), F.lit(WORD)).cast("bigint")
     rows = table(spark, sf_dir, "documents").select("doc_id", "source", words.alias("size"))
     mixed, _ = mix_sources(rows, "doc_id", "source", "size", WEIGHTS)
@@ -149,7 +152,7 @@ def mix_documents(spark, sf_dir):
         "target",
         "taken",
         "source",
-        F.get("positions", F.lit(0)).alias("first_position"),
+        F.coalesce(F.get("positions", F.lit(0)), F.lit(-1)).alias("first_position"),
         F.size("positions").alias("passes"),
     )
 
