@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import wraps
+from threading import get_ident
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,28 +27,41 @@ from tallyshelf.sources.scratch import scratch_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: Folders the latest stage has written for itself.
-_left: list[str] = []
+#: What the stages of a chain have written for themselves, with the stage's place: a chain is
+#: one thread's stages over one folder of tables.
+_left: dict[tuple[int, str], list[tuple[int, str]]] = {}
 
 
 def _stage(work: Stage) -> Stage:
-    """The stage, which first deletes what the one before it wrote for itself.
+    """The stage, which first deletes what earlier stages of its chain wrote for themselves.
 
-    A stage's result is written before the next stage begins, so nothing reads those
-    folders then; kept, each would hold the documents once more.
+    A stage's result is written before a later stage begins, so nothing reads those
+    folders then; kept, each would hold the documents once more. A result that was
+    not written but handed on as it is still reads them: they stay. A stage that is
+    called again deletes nothing, so two results of one stage stand side by side.
     """
 
     @wraps(work)
     def begin(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        discard(spark, _left)
+        place = [name for name, _ in STAGES].index(begin.stage)
+        mine = _left.setdefault((get_ident(), sf_dir), [])
+        earlier = [folder for at, folder in mine if at < place]
+        read = docs.inputFiles() if earlier else []
+        gone = [f for f in earlier if not any(_name(f) in file for file in read)]
+        discard(spark, gone)
+        mine[:] = [(at, folder) for at, folder in mine if folder not in gone]
         before = len(WRITTEN)
         result = work(spark, docs, sf_dir)
-        _left[:] = WRITTEN[before:]
+        mine += [(place, folder) for folder in WRITTEN[before:]]
         return result
 
     return begin
 
 
+def _name(folder: str) -> str:
+    return folder.rstrip("/").rpartition("/")[2]
+
+
 def _whole(docs: DataFrame, *columns: str) -> DataFrame:
     """All columns as one struct ``doc``, beside copies of some: no name of a stage can clash."""
     return docs.select(F.struct(*map(named, docs.columns)).alias("doc"), *map(named, columns))
@@ -87,16 +101,22 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, to the nearest whole time.
 
-    Only where a source's target ends within a document is a share rounded.
-    Documents without words stay once: they take nothing from any target.
+    They come in the mix's order, from file to file and within each: any first part
+    of them is close to the weights. Only where a source's target ends within a
+    document is a share rounded. Documents without words stay once, at the end:
+    they take nothing from any target.
     """
     numbered = _numbered(docs, "text", "source")
     words = F.regexp_count(text_or_empty("text"), F.lit(WORD)).cast("bigint")
     mixed, _ = mix_sources(numbered.select("row", "source", words.alias("size")), "row", "source", "size", WEIGHTS)
     times = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(1).cast("int")
-    counted = mixed.select(F.col("key").alias("row"), times.alias("times")).filter("times > 0")
+    counted = mixed.select(F.col("key").alias("row"), times.alias("times"), "positions").filter("times > 0")
     repeated = numbered.select("doc", "row").join(counted, "row")
-    return repeated.withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times")))).select("doc.*")
+    # The times beyond the passes that reach a document (its share was rounded up) go last.
+    late = F.lit((1 << 63) - 1)
+    rows = repeated.withColumn("time", F.explode(F.sequence(F.lit(0), F.col("times") - 1)))
+    rows = rows.select("doc", F.coalesce(F.get("positions", F.col("time")), late).alias("position"))
+    return rows.repartitionByRange("position").sortWithinPartitions("position").select("doc.*")
 
 
 @_stage
@@ -114,6 +134,8 @@ STAGES = [
     ("mix", mix_to_weights),
     ("pack", pack),
 ]
+for _stage_name, _function in STAGES:
+    _function.stage = _stage_name
 
 #: The fits, fingerprints and token ids of the stages are beyond SQL.
 ORACLE_SQL = None

@@ -16,6 +16,14 @@ from tallyshelf.operators.dedup import first_per_key
 from tallyshelf.operators.html import html_fields, html_text, typed_fields
 from tallyshelf.operators.nested import child_rows, discover_schema, nested_columns
 from tallyshelf.operators.reshape import explode_tokens, melt_votes
+from tallyshelf.operators.terms import (
+    best_threshold,
+    term_counts,
+    term_log_odds,
+    term_weights,
+    text_scores,
+    top_terms,
+)
 from tallyshelf.operators.trend import period_series, trend_test, with_change
 from tallyshelf.plans import reports
 from tallyshelf.plans.jobs import clean_job, export_zone, publish_job, row_counts
@@ -476,6 +484,32 @@ def category_trends(spark, d):
     return tested.select("genre", "n", "s", *rounded, "trend")
 
 
+def document_terms(spark, d):
+    """The three terms of most weight of every document, among those that two documents have."""
+    counts = term_counts(table(spark, d, "documents"), "doc_id", "text")
+    top = top_terms(term_weights(counts, least_docs=2), 3)
+    return top.select(F.col("key").alias("doc_id"), "term", "n", "docs", F.round("weight", 6).alias("weight"), "rank")
+
+
+def document_scores(spark, d):
+    """Every document's score for quality: learned from three folds of the labelled ones, cut by one, one held out."""
+    counts = term_counts(table(spark, d, "documents"), "doc_id", "text")
+    fold = F.pmod(F.col("doc_id"), F.lit(5))
+    labels = table(spark, d, "labels").select(F.col("doc_id").alias("key"), F.col("quality").alias("label"), fold.alias("fold"))
+    scores = text_scores(counts, term_log_odds(counts, labels.filter("fold > 1")))
+    threshold = best_threshold(scores, labels.filter("fold = 1")).select("threshold").scalar()
+    judged = scores.join(labels, "key", "left").select(
+        F.col("key").alias("doc_id"),
+        "n_terms",
+        "n_known",
+        F.round("score", 6).alias("score"),
+        (F.col("score") >= threshold).alias("is_good"),
+        "label",
+        (F.col("fold") == 0).alias("held_out"),
+    )
+    return judged.withColumn("label", F.col("label").cast("int"))
+
+
 QUERIES: dict[str, Query] = {
     "clean_items": clean_items,
     "dedup_items": dedup_items,
@@ -531,4 +565,6 @@ QUERIES: dict[str, Query] = {
     "nested_schema": nested_schema,
     "monthly_trend": monthly_trend,
     "category_trends": category_trends,
+    "top_terms": document_terms,
+    "document_scores": document_scores,
 }
