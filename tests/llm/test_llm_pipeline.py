@@ -115,3 +115,31 @@ def test_queries_return_a_row_for_each_of_the_whole_table(spark):
 def test_scanned_counts_of_licences(spark):
     out = QUERIES["op7_suffix_licenses"](spark, SMALL)
     assert out.filter("NOT score BETWEEN 0 AND 1").count() == 0
+
+
+def test_stages_may_be_handed_on_unwritten(spark):
+    """A later stage does not delete what its input still reads."""
+    docs = documents(spark, corpus())
+    one = corpus_pipeline.keep_quality(spark, docs, "lazy")
+    two = corpus_pipeline.drop_near_duplicates(spark, one, "lazy")
+    assert two.count() == 82
+
+
+def test_two_results_of_a_stage_stand_side_by_side(spark):
+    first = corpus_pipeline.keep_quality(spark, documents(spark, corpus()), "twice")
+    second = corpus_pipeline.keep_quality(spark, documents(spark, corpus(40)), "twice")
+    assert (first.count(), second.count()) == (92, 52)
+    other = corpus_pipeline.mix_to_weights(spark, documents(spark, corpus(20)), "other")
+    assert second.count() == 52 and other.count() > 0
+
+
+def test_the_mix_is_written_in_its_order(spark, tmp_path):
+    rows = [(i, "word " * 10, "en", f"s{i % 3}", None) for i in range(600)]
+    out = corpus_pipeline.mix_to_weights(spark, documents(spark, rows), "order")
+    out.write.parquet(str(tmp_path / "mix"))
+    written = [r.source for r in spark.read.parquet(str(tmp_path / "mix")).select(
+        "source", F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i")
+    ).orderBy("f", "i").collect()]
+    shares = {s: written.count(s) / len(written) for s in ("s0", "s1", "s2")}
+    for n in range(50, len(written), 50):
+        assert all(abs(written[:n].count(s) / n - share) < 0.1 for s, share in shares.items()), n
