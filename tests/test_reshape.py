@@ -57,3 +57,12 @@ def test_melt_measures_keeps_nulls(spark):
 def test_transpose_row(spark):
     df = spark.createDataFrame([(0.12345, None)], "a double, b double")
     assert transpose_row(df, ["a", "b"], "k", "v", 3).collect() == [("a", 0.123), ("b", None)]
+
+
+def test_votes_beyond_their_type_are_an_error_not_lost(spark):
+    wide = spark.createDataFrame([("1", "3000000000", "5", "x", None)], "appid string, a string, b string, c string, d string")
+    assert sorted(map(tuple, melt_votes(wide, value_type="bigint").collect())) == [(1, "a", 3000000000), (1, "b", 5)]
+    with pytest.raises(Exception, match="does not fit int"):
+        melt_votes(wide).collect()
+    typed = spark.createDataFrame([(1, 3000000000, -1)], "appid int, a bigint, b bigint")
+    assert melt_votes(typed, value_type="bigint").collect() == [(1, "a", 3000000000)]
