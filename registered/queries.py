@@ -459,8 +459,10 @@ def props_children(spark, d):
 
 
 def nested_schema(spark, d):
-    """Every path of the orders' nested texts, with its type."""
-    return discover_schema(_order_documents(spark, d), "document")
+    """Every path of the orders' nested texts, with its type: from a written table, as each level reads it."""
+    path = scratch_folder(spark, "documents")
+    write_table(_order_documents(spark, d), path)
+    return discover_schema(read_table(spark, path), "document")
 
 
 def monthly_trend(spark, d):
