@@ -486,9 +486,16 @@ def category_trends(spark, d):
     return tested.select("genre", "n", "s", *rounded, "trend")
 
 
+def _document_counts(spark, d):
+    """The terms of all documents, counted once: from a written table, as each step reads them."""
+    path = scratch_folder(spark, "terms")
+    write_table(term_counts(table(spark, d, "documents"), "doc_id", "text"), path)
+    return read_table(spark, path)
+
+
 def document_terms(spark, d):
     """The three terms of most weight of every document, among those that two documents have."""
-    counts = term_counts(table(spark, d, "documents"), "doc_id", "text")
+    counts = _document_counts(spark, d)
     top = top_terms(term_weights(counts, least_docs=2), 3)
     return top.select(F.col("key").alias("doc_id"), "term", "n", "docs", F.round("weight", 6).alias("weight"), "rank")
 

@@ -19,10 +19,14 @@ def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
     """``(key, term, n)``: how often each text has each term; A to Z count as a to z.
 
     Rows of one key are one text. NULL texts and texts without terms have no row.
+    The texts themselves are dealt by key, as wide as the session shuffles, and
+    their terms counted where they lie: a text is a fraction of its counted terms.
     """
-    folded = F.translate(named(text), UPPER, LOWER)
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = df.select(named(key).alias("key"), named(text).alias("text")).repartition(width, "key")
+    folded = F.translate("text", UPPER, LOWER)
     terms = F.explode(F.regexp_extract_all(folded, F.lit(TERM), F.lit(0)))
-    return df.select(named(key).alias("key"), terms.alias("term")).groupBy("key", "term").agg(F.count("*").alias("n"))
+    return texts.select("key", terms.alias("term")).groupBy("key", "term").agg(F.count("*").alias("n"))
 
 
 def term_weights(counts: DataFrame, *, least_docs: int = 1) -> DataFrame:

@@ -5,6 +5,7 @@ from collections import Counter
 
 import pytest
 
+from registered.queries import QUERIES
 from tallyshelf.operators.terms import best_threshold, term_counts, term_log_odds, term_vectors, term_weights, text_scores, top_terms
 
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
@@ -110,3 +111,26 @@ def test_learned_labels_hold_on_texts_not_learned_from(spark):
     known = spark.createDataFrame(list(labels.items()), "key int, label int")
     scores = text_scores(counts, term_log_odds(counts, known.filter("key >= 200"))).filter("key < 100")
     assert best_threshold(scores, known).first().accuracy > 0.9
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_not_terms_are_dealt_by_key(spark):
+    df = spark.createDataFrame(list(TEXTS.items()), "id int, text string")
+    text = plan(term_counts(df, "id", "text"))
+    assert text.count("Exchange") == 1 and not re.search(r"hashpartitioning\(key#\d+L?, term", text)
+
+
+@pytest.mark.parametrize("name", ["top_terms"])
+def test_terms_are_counted_once(spark, tmp_path, name):
+    spark.createDataFrame(list(TEXTS.items()), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, i % 2, 0) for i in TEXTS]
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    df = QUERIES[name](spark, str(tmp_path))
+    assert "regexp_extract_all" not in plan(df)
+    if name == "document_scores":
+        assert {r.doc_id: r.n_terms for r in df.collect()} == {k: sum(c.values()) for k, c in counted().items()}
+    else:
+        assert {(r.doc_id, r.term, r.n) for r in df.collect()} == {(3, "blue", 1), (2, "blue", 2), (2, "green", 1), (1, "red", 2), (1, "blue", 1), *[(7, t, counted()[7][t]) for t in ("red", "blue", "green")]}
