@@ -123,7 +123,7 @@ def test_texts_not_terms_are_dealt_by_key(spark):
     assert text.count("Exchange") == 1 and not re.search(r"hashpartitioning\(key#\d+L?, term", text)
 
 
-@pytest.mark.parametrize("name", ["top_terms"])
+@pytest.mark.parametrize("name", ["top_terms", "document_scores"])
 def test_terms_are_counted_once(spark, tmp_path, name):
     spark.createDataFrame(list(TEXTS.items()), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
     labels = [(i, i % 2, 0) for i in TEXTS]
