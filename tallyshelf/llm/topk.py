@@ -20,12 +20,19 @@ RESOLVED = 10
 
 
 class SortedLists:
-    """One list per dimension of a block's candidates, by value, largest first."""
+    """One list per dimension of a block's candidates, by value, largest first, and once more from its other end.
+
+    ``places`` says where in the first lists a candidate stands, and so what has been read of it.
+    """
 
     def __init__(self, vectors: np.ndarray):
         self.vectors = vectors
-        self.names = np.argsort(-vectors, axis=0, kind="stable")
-        self.values = np.take_along_axis(vectors, self.names, axis=0).astype(np.float64)
+        down = np.argsort(-vectors, axis=0, kind="stable")
+        self.names = np.ascontiguousarray(np.concatenate([down, down[::-1]], axis=1).T)
+        values = np.take_along_axis(vectors, down, axis=0).astype(np.float64)
+        self.values = np.ascontiguousarray(np.concatenate([values, values[::-1]], axis=1).T)
+        self.places = np.empty(vectors.shape, np.int32)
+        np.put_along_axis(self.places, down, np.arange(len(vectors), dtype=np.int32)[:, None], axis=0)
 
     def top(self, query: np.ndarray, ids: np.ndarray, wanted: int, own: int = -1, floor: float = -np.inf):
         """``(places, scores, read)`` of the ``wanted`` best candidates, ties to the smaller id.
@@ -35,13 +42,17 @@ class SortedLists:
         cannot qualify if its upper bound is under the ``wanted``-th best lower
         bound, or under ``floor``, a score that so many rows elsewhere reach. Equal
         bounds stay, for ties. ``own`` is the query's own place, -1 for none.
-        ``read`` counts the entries read.
+        ``read`` counts the entries read. No upper bound is under that of a candidate not
+        seen at all: until that one falls under ``floor`` bounds are not compared.
         """
         reader = Reader(self, query)
         left = np.arange(len(self.vectors))
         left = left[left != own]
         for share in DEPTHS if len(left) > RESOLVED * wanted else ():
-            reader.read(max(1, int(len(self.vectors) * share)))
+            depth = max(1, int(len(self.vectors) * share))
+            if share < 1 and reader.unseen(depth) >= floor > -np.inf:
+                continue
+            reader.read(depth)
             lower, upper = reader.bounds(left)
             best = np.partition(lower, len(lower) - wanted)[len(lower) - wanted]
             left = left[upper >= max(best, floor) - reader.slack]
@@ -63,9 +74,10 @@ class Reader:
         self.lists = lists
         self.down, self.up = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
         self.weights = query[np.r_[self.down, self.up]].astype(np.float64)
+        #: The lists to read, each from the query's best end.
+        self.rows = np.r_[self.down, self.up + lists.vectors.shape[1]]
         size = len(lists.vectors)
         self.known = np.zeros(size)
-        self.unseen = np.ones((size, len(self.weights)))
         self.depth = self.entries = 0
         ends = np.abs(np.stack([self._at(0), self._at(size - 1)])) if size else np.zeros((2, len(self.weights)))
         #: Far more than floating point can be off in a sum of all dimensions.
@@ -73,18 +85,17 @@ class Reader:
 
     def _at(self, place: int) -> np.ndarray:
         """What the entry at ``place`` of each list, from the best end on, is worth."""
-        values = self.lists.values
-        return np.r_[values[place, self.down], values[len(values) - 1 - place, self.up]] * self.weights
+        return self.lists.values[self.rows, place] * self.weights
+
+    def unseen(self, depth: int) -> float:
+        """Upper bound, at ``depth`` entries of each list, of a candidate in none of them."""
+        return self._at(depth - 1).sum()
 
     def read(self, depth: int) -> None:
         """Go on to ``depth`` entries of each list."""
-        size, first = len(self.known), self.depth
-        top, bottom = slice(first, depth), slice(size - depth, size - first)
-        names, values = self.lists.names, self.lists.values
-        names = np.concatenate([names[top, self.down], names[bottom, self.up]], axis=1)
-        worth = np.concatenate([values[top, self.down], values[bottom, self.up]], axis=1) * self.weights
-        self.known += np.bincount(names.ravel(), worth.ravel(), size)
-        self.unseen[names, np.arange(len(self.weights))] = 0.0
+        names = self.lists.names[self.rows, self.depth : depth]
+        worth = self.lists.values[self.rows, self.depth : depth] * self.weights[:, None]
+        self.known += np.bincount(names.ravel(), worth.ravel(), len(self.known))
         self.depth, self.entries = depth, self.entries + names.size
 
     def bounds(self, candidates: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +105,12 @@ class Reader:
         no less than the list's other end.
         """
         ends = np.stack([self._at(len(self.known) - 1), self._at(self.depth - 1)], axis=1)
-        rest = self.unseen[candidates] @ ends
+        size, width = self.lists.vectors.shape
+        first, last, worth = np.zeros(width, np.int32), np.full(width, size, np.int32), np.zeros((width, 2))
+        first[self.down], last[self.up] = self.depth, size - self.depth
+        worth[self.rows % width] = ends
+        places = self.lists.places[candidates]
+        rest = ((places >= first) & (places < last)) @ worth
         return self.known[candidates] + rest[:, 0], self.known[candidates] + rest[:, 1]
 
 

@@ -121,3 +121,26 @@ def test_other_columns_may_have_any_name(spark):
     rows = vectors(np.random.default_rng(9), 120)
     df = spark.createDataFrame([(*r, 1, 2, 3, 4) for r in rows], SCHEMA + ", v int, query int, block int, floor int")
     assert sorted(map(tuple, top_k(df, "vec_id", "embedding").collect())) == brute(rows)
+
+
+def test_bounds_are_compared_only_where_some_can_fall(monkeypatch):
+    """No upper bound is under that of a candidate in no list yet, so until it is under the floor none is made."""
+    rng = np.random.default_rng(10)
+    block = np.floor(rng.normal(size=(2000, 16)) * 40).astype(np.int64)
+    lists, ids, compared, bounds = SortedLists(block), np.arange(2000), [], topk.Reader.bounds
+
+    def noted(reader, candidates):
+        lower, upper = bounds(reader, candidates)
+        compared.append((reader.depth, upper.min()))
+        return lower, upper
+
+    monkeypatch.setattr(topk.Reader, "bounds", noted)
+    for _ in range(20):
+        query = np.floor(rng.normal(size=16) * 40).astype(np.int64)
+        best, scores = exact_top(block, query, ids, 5, -1)
+        places, got, _ = lists.top(query, ids, 5, -1, scores[-1])
+        assert places.tolist() == best and got.tolist() == scores
+        reader = topk.Reader(lists, query)
+        assert all(reader._at(depth - 1).sum() < scores[-1] for depth, _ in compared if depth < 2000)
+        assert all(least >= reader._at(depth - 1).sum() - reader.slack for depth, least in compared)
+        compared.clear()
